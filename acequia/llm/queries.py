@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acequia.llm import leaks
+from acequia.llm import leaks, spam
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,10 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.remove_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "eval_items")).where("n_removed > 0")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.keyword_pages(_read(spark, sf_dir, "documents")).where("is_spam").select("doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in list(globals().items()) if name[0] == "p" and name[1:2].isdigit()
 }
