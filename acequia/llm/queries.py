@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from acequia.llm import leaks, spam
+from acequia.llm import budget, leaks, mixing, oracles, spam
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Vocabulary files of public tokenizers; a parameter of the queries that need one.
+TOKENIZERS = os.environ.get("ACEQUIA_TOKENIZERS", "/opt/tokenizers")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return budget.token_budget(_read(spark, sf_dir, "corpus_rows"), _read(spark, sf_dir, "resources")).drop("tokens_registered")
+
+
+def p2_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = budget.subword_counts(_read(spark, sf_dir, "corpus_rows").drop("tokens"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return budget.token_budget(rows, _read(spark, sf_dir, "resources"), F.col("n_subwords")).withColumnRenamed("n_tokens", "n_subwords")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
@@ -21,6 +36,18 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.remove_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "eval_items")).where("n_removed > 0")
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "mix_targets")).select("source", "passes", "falls_short")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "mix_targets"))
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "mix_targets"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam.keyword_pages(_read(spark, sf_dir, "documents")).where("is_spam").select("doc_id")
 
@@ -29,4 +56,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in list(globals().items()) if name[0] == "p" and name[1:2].isdigit()
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES

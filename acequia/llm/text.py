@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Token of the corpus: a run of letters, digits and underscores, or one other visible character.
-TOKEN_JVM = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+TOKEN_JVM = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}\x{85}]"
 TOKEN = re.compile(r"\w+|[^\w\s]")
 WORD = re.compile(r"[^\W_]+")
 
