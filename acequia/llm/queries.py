@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acequia.llm import budget, leaks, mixing, oracles, spam
+from acequia.llm import budget, leaks, mixing, oracles, ranking, spam
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,6 +28,15 @@ def p2_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return budget.token_budget(rows, _read(spark, sf_dir, "resources"), F.col("n_subwords")).withColumnRenamed("n_tokens", "n_subwords")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = ranking.ranking(ranking.judged(_read(spark, sf_dir, "preferences")))
+    return placed.select(F.col("item").alias("model"), "rank_no")
+
+
+def p3_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.residuals(ranking.judged(_read(spark, sf_dir, "preferences")))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
