@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acequia.llm import budget, leaks, mixing, oracles, ranking, spam
+from acequia.llm import budget, leaks, mixing, oracles, ranking, spam, splitting
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,6 +37,16 @@ def p3_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.residuals(ranking.judged(_read(spark, sf_dir, "preferences")))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.cut_kinds(splitting.split_oversized(_read(spark, sf_dir, "corpus_rows")))
+
+
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of each oversized row, rows delivered again once."""
+    pieces = splitting.split_oversized(_read(spark, sf_dir, "corpus_rows"))
+    return pieces.dropDuplicates(["source_id", "id", "piece_no"])
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
