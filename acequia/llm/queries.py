@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acequia.llm import budget, leaks, mixing, oracles, ranking, spam, splitting
+from acequia.llm import budget, leaks, mixing, neardup, oracles, overlap, ranking, spam, splitting
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,6 +37,16 @@ def p3_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.residuals(ranking.judged(_read(spark, sf_dir, "preferences")))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = overlap.cross_split_pairs(_read(spark, sf_dir, "parallel_biomedical"))
+    return pairs.select(F.least("id_one", "id_other").alias("pair_id_a"), F.greatest("id_one", "id_other").alias("pair_id_b"))
+
+
+def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "parallel_biomedical")
+    return overlap.overlap_report(rows, overlap.cross_split_pairs(rows))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.cut_kinds(splitting.split_oversized(_read(spark, sf_dir, "corpus_rows")))
 
@@ -47,6 +57,16 @@ def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.dropDuplicates(["source_id", "id", "piece_no"])
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = neardup.near_pairs(_read(spark, sf_dir, "preferences"), "sample_id", ["prompt", "chosen"])
+    return pairs.select(F.col("id_a").alias("sample_id_a"), F.col("id_b").alias("sample_id_b"))
+
+
+def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = neardup.near_groups(_read(spark, sf_dir, "preferences"), "sample_id", ["prompt", "chosen"])
+    return groups.withColumnRenamed("id", "sample_id")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
