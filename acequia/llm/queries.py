@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acequia.llm import budget, leaks, mixing, neardup, oracles, overlap, ranking, spam, splitting
+from acequia.llm import budget, leaks, mixing, neardup, oracles, overlap, pairs, ranking, spam, splitting
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 TOKENIZERS = os.environ.get("ACEQUIA_TOKENIZERS", "/opt/tokenizers")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.defects(_read(spark, sf_dir, "responses"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return budget.token_budget(_read(spark, sf_dir, "corpus_rows"), _read(spark, sf_dir, "resources")).drop("tokens_registered")
 
