@@ -26,7 +26,7 @@ ABBREVIATIONS = frozenset(
     ing lic lcdo lcda ilmo ilma excmo excma mons rvdo sto sta fr hno hnos av avda ctra pza apdo cap caps cf cfr ej ap
     ed eds fig figs tab tel teléf tfno fax vda vto fdo ee uu rr hh dd ff cía cia ltda ltd inc co corp mr mrs ms mme mlle jr
     vs op cit cits ibid ibíd íd obs ref refs reg sec secc tít tit trad ud uds vd vds fol fols exp expte rd lo bo disp
-    aprox máx mín max min admón dpto depto gral gob pte ppal prov izq dcha dpdo bco edif km² nov pàg pàgs núms dn
+    aprox máx mín admón dpto depto gral gob pte ppal prov izq dcha dpdo bco edif km² nov pàg pàgs núms dn
     """.split()
 )
 
