@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _PAIR = re.compile(r'"([\w-]+)"\s*:\s*("(?:[^"\\]|\\.)*"|-?\d+(?:\.\d+)?|true|false|null)')
 
@@ -47,7 +48,7 @@ def repair(text: str | None) -> str | None:
     return json.dumps(pairs, ensure_ascii=False, sort_keys=True) if pairs else None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def repaired(c: pd.Series) -> pd.Series:
     return c.map(repair)
 

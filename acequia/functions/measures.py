@@ -9,6 +9,7 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 _SPACE = re.compile(r"\s+")
@@ -59,12 +60,12 @@ def bleu(candidate: str | None, reference: str | None, orders: int = 4) -> float
     return min(1.0, math.exp(1 - len(r) / len(c))) * math.exp(logs / orders)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chrf_column(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([chrf(x, y) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def bleu_column(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([bleu(x, y) for x, y in zip(a, b)])
 

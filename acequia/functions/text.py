@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 # Patterns of the corpus's cleaning steps and filters.
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
-IMAGE = r"!\[.*?\]\(.*?\)"
+IMAGE = r"(?d)!\[.*?\]\(.*?\)"
 NEWLINES = r"[\r\n]{2,}"
-WIKI_HEADING = r"(?m)^\s*=+\s*(.+?)\s*=+\s*$"
+WIKI_HEADING = r"(?dm)^\s*=+\s*(.+?)\s*=+\s*$"
 OPEN_LINE = r"""([^\s\.,;:!?\)\]\}\"'»”])\r?\n\s*([A-ZÁÉÍÓÚÜÑ])"""
 URL = r"https?://\S+|www\.\S+"
 MENTION = r"@[\p{L}\p{N}_]+"
@@ -197,9 +197,13 @@ def shuffle_key(key: Column, seed: int | str) -> Column:
 def word_grams(c: Column, n: int) -> Column:
     """Runs of n words, in order; none of a shorter text."""
     found = F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
-    last = F.size(found) - (n - 1)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(found, i, n), " "))
-    return F.when(last >= 1, grams).otherwise(F.array().cast("array<string>"))
+    # the words are the element of a list of one, so that they are found once and not again at every run
+    def runs(w: Column) -> Column:
+        last = F.size(w) - (n - 1)
+        grams = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(last >= 1, grams).otherwise(F.array().cast("array<string>"))
+
+    return F.transform(F.array(found), runs)[0]
 
 
 # What UTF-8 text read as Latin-1 looks like, and what it was.

@@ -54,8 +54,8 @@ def text_groups(df: DataFrame, text: str = "text", id_column: str = "doc_id") ->
 def duplicate_ids(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(id, first_id, copies) of every row whose text stands more than once."""
     h = F.sha2(text, 256)
-    groups = df.groupBy(h.alias("__h")).agg(F.min(id_column).alias("first_id"), F.count("*").alias("copies")).where("copies > 1")
-    return df.select(F.col(id_column).alias("id"), h.alias("__h")).join(groups, F.col("__h").eqNullSafe(groups["__h"])).select("id", "first_id", "copies")
+    groups = df.groupBy(h.alias("__g")).agg(F.min(id_column).alias("first_id"), F.count("*").alias("copies")).where("copies > 1")
+    return df.select(F.col(id_column).alias("id"), h.alias("__h")).join(groups, F.col("__h").eqNullSafe(F.col("__g"))).select("id", "first_id", "copies")
 
 
 def text_then_id_dedup(df: DataFrame, text: str = "text", id_column: str = "doc_id", order: list[str] | None = None) -> DataFrame:

@@ -43,7 +43,8 @@ def retrieval_rows(results: DataFrame, references: DataFrame, contexts: DataFram
 
 def answered_by_both(a: DataFrame, b: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
     """(key, value_a, value_b) of the keys in both, each side's last row by key."""
-    last = lambda df, name: df.groupBy(key).agg(F.max(F.struct(*order, value)).alias("r")).select(key, F.col(f"r.{value}").alias(name))
+    fields = [*[c for c in order if c != value], value]
+    last = lambda df, name: df.groupBy(key).agg(F.max(F.struct(*fields)).alias("r")).select(key, F.col(f"r.{value}").alias(name))
     return last(a, f"{value}_a").join(last(b, f"{value}_b"), key)
 
 

@@ -66,22 +66,34 @@ def correlations(df: DataFrame, a: str, b: str, digits: int = 6) -> DataFrame:
 
 
 def corpus_bleu(df: DataFrame, hypothesis: str, reference: str, orders: int = 4, digits: int = 6) -> DataFrame:
-    """Corpus BLEU on lower-case tokens: matches and totals summed over all segments, then put together once."""
-    from acequia.functions.text import TOKEN
+    """(bleu, hypothesis_tokens, reference_tokens): corpus BLEU on lower-case tokens.
 
-    toks = lambda c: F.regexp_extract_all(F.lower(F.coalesce(F.col(c), F.lit(""))), F.lit(f"({TOKEN})"), F.lit(1))
-    rows = df.select(F.monotonically_increasing_id().alias("i"), toks(hypothesis).alias("h"), toks(reference).alias("r"))
+    Matches and totals are summed over all segments and put together once;
+    each batch of segments gives one row of sums. Null texts have no tokens.
+    """
+    from collections.abc import Iterator
 
-    def grams(c: str, n: int) -> Column:
-        last = F.size(c) - (n - 1)
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda k: F.array_join(F.slice(c, k, n), "\x1f"))).otherwise(F.array().cast("array<string>"))
+    import pandas as pd
 
-    matches = []
-    for n in range(1, orders + 1):
-        h, r = grams("h", n), grams("r", n)
-        hit = F.aggregate(F.array_distinct(h), F.lit(0), lambda s, g, h=h, r=r: s + F.least(F.size(F.filter(h, lambda x: x == g)), F.size(F.filter(r, lambda x: x == g))))
-        matches += [F.sum(hit).alias(f"m{n}"), F.sum(F.size(h)).alias(f"t{n}")]
-    s = rows.agg(F.sum(F.size("h")).alias("hl"), F.sum(F.size("r")).alias("rl"), *matches)
+    from acequia.functions.measures import _TOKEN, _grams, _shared
+
+    names = ["hl", "rl", *[f"{x}{n}" for n in range(1, orders + 1) for x in "mt"]]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            sums = dict.fromkeys(names, 0)
+            for a, b in zip(f["h"], f["r"]):
+                h, r = (_TOKEN.findall((t or "").lower()) for t in (a, b))
+                sums["hl"] += len(h)
+                sums["rl"] += len(r)
+                for n in range(1, orders + 1):
+                    g = _grams(h, n)
+                    sums[f"m{n}"] += _shared(g, _grams(r, n))
+                    sums[f"t{n}"] += g.total()
+            yield pd.DataFrame([sums])
+
+    rows = df.select(F.col(hypothesis).alias("h"), F.col(reference).alias("r")).mapInPandas(run, ", ".join(f"{n} bigint" for n in names))
+    s = rows.agg(*[F.sum(n).alias(n) for n in names])
     logs = F.lit(0.0)
     for n in range(1, orders + 1):
         logs = logs + F.log(F.col(f"m{n}") / F.col(f"t{n}")) / orders

@@ -140,7 +140,7 @@ def diverse(df: DataFrame, n: int, near: int = 4000, weight: float = 0.7, id_col
     centre = F.array(*[F.lit(float(x)) for x in mean])
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     scored = df.select(F.col(id_column).alias("id"), F.col(vector).alias("v"), F.round(dot(F.col(vector), centre) / F.sqrt(dot(centre, centre)), 9).alias("s"))
-    candidates = scored.orderBy(F.desc("s"), "id").limit(near)
+    candidates = scored.orderBy(F.desc("s"), "id").limit(near).withColumn("g", F.lit(1))
     kind = df.schema[id_column].dataType.simpleString()
 
     def choose(f: pd.DataFrame) -> pd.DataFrame:
@@ -157,4 +157,4 @@ def diverse(df: DataFrame, n: int, near: int = 4000, weight: float = 0.7, id_col
             like = np.maximum(like, x @ x[i])
         return pd.DataFrame({"id": f["id"].iloc[taken], "place": range(1, len(taken) + 1)})
 
-    return candidates.groupBy(F.lit(1)).applyInPandas(choose, f"id {kind}, place int")
+    return candidates.groupBy("g").applyInPandas(choose, f"id {kind}, place int")

@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from acequia.plans import corpus_queries, model_queries, text_queries
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+for _part in (text_queries, corpus_queries, model_queries):
+    QUERIES.update(_part.QUERIES)
+    ORACLES.update(_part.ORACLES)

@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SILENT = {"script", "style", "noscript", "template", "head"}
 
@@ -40,7 +41,7 @@ def html_text(html: str | None) -> str | None:
     return " ".join(p.parts)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_to_text(c: pd.Series) -> pd.Series:
     return c.map(html_text)
 
