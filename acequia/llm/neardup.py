@@ -24,8 +24,8 @@ from acequia.session import materialize
 BANDS, ROWS = 48, 4
 #: Low bits kept of each minimum.
 BITS = 2
-#: Share of records from which on an element weighs less.
-RARE = 0.003
+#: Share of records, or number of records if that is more, from which on an element weighs less.
+RARE, RARE_RECORDS = 0.004, 40
 #: Estimated weighted similarity below which a candidate is discarded, five deviations below what an overlap of .8 gives.
 LEAST_ESTIMATE = 0.3
 
@@ -44,7 +44,7 @@ def signatures(texts: DataFrame, bands: int = BANDS, per_band: int = ROWS) -> Da
     Records of one class have the same words equally often (128-bit hash).
     """
     count, _, total = frequencies(texts, ["text"], of_elements=True)
-    stretch = np.maximum(1.0, count / max(1, total) / RARE)
+    stretch = np.maximum(1.0, count / max(RARE * total, RARE_RECORDS))
     shared = texts.sparkSession.sparkContext.broadcast(np.minimum(stretch, 1 << 20).astype(np.float32))
     id_type = texts.schema["id"].dataType.simpleString()
     minima = bands * per_band

@@ -39,7 +39,8 @@ def ends_sentence(text: str, at: int, marks: str, after: int) -> bool:
     """Whether stop marks at a place of the text, with white space after them, end a sentence.
 
     A point doesn't after an abbreviation, an initial or a number that numbers
-    a line or goes on in lower case or digits, or before a small letter.
+    a line or goes on in lower case or digits, nor after a word so short that
+    it may be an abbreviation too where the text goes on in lower case.
     """
     if marks != ".":
         return True
@@ -59,7 +60,7 @@ def ends_sentence(text: str, at: int, marks: str, after: int) -> bool:
         if not head.strip() and (m.start() == 0 or "\n" in head or "\r" in head):
             return False
         return not (follows.islower() or follows.isdigit())
-    return not follows.islower()
+    return len(word) > 4 or not follows.islower()
 
 
 def boundaries(text: str) -> list[int]:
