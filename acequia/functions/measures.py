@@ -6,6 +6,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,19 +32,48 @@ def _shared(a: Counter, b: Counter) -> int:
     return sum(min(n, b[g]) for g, n in a.items() if g in b)
 
 
+def _codes(x: str, y: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Characters of both as small numbers; none if there are too many different ones to pack six in 64 bits."""
+    both = np.frombuffer((x + y).encode("utf-32-le"), dtype=np.uint32)
+    kinds, codes = np.unique(both, return_inverse=True)
+    if len(kinds) > 1000:
+        return None
+    codes = codes.astype(np.uint64) + np.uint64(1)
+    return codes[: len(x)], codes[len(x) :]
+
+
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    ua, ca = np.unique(a, return_counts=True)
+    ub, cb = np.unique(b, return_counts=True)
+    at = np.searchsorted(ub, ua)
+    at[at == len(ub)] = 0
+    return int(np.minimum(ca, cb[at])[ub[at] == ua].sum())
+
+
 def chrf(a: str | None, b: str | None, orders: int = 6, beta: float = 2.0) -> float:
-    """F-score of character n-grams: precision and recall averaged over the orders, recall weighted by beta."""
+    """F-score of character n-grams: precision and recall averaged over the orders, recall weighted by beta.
+
+    A text shorter than an order counts as one n-gram of that order.
+    """
     x, y = (_SPACE.sub(" ", (t or "").lower()).strip() for t in (a, b))
     if not a and not b:
         return 1.0
-    if not a or not b:
+    if not x or not y:
         return 0.0
+    coded = _codes(x, y) if orders <= 6 else None
     p = r = 0.0
+    gx = gy = None
     for n in range(1, orders + 1):
-        gx, gy = _grams(x, n), _grams(y, n)
-        both = _shared(gx, gy)
-        p += both / max(1, gx.total())
-        r += both / max(1, gy.total())
+        if coded is None or len(x) < n or len(y) < n:
+            cx, cy = _grams(x, n), _grams(y, n)
+            both, nx, ny = _shared(cx, cy), cx.total(), cy.total()
+        else:
+            cx, cy = coded
+            gx = cx if n == 1 else (gx[:-1] << np.uint64(10)) | cx[n - 1 :]
+            gy = cy if n == 1 else (gy[:-1] << np.uint64(10)) | cy[n - 1 :]
+            both, nx, ny = _overlap(gx, gy), len(gx), len(gy)
+        p += both / nx
+        r += both / ny
     p, r = p / orders, r / orders
     return 0.0 if p == 0 and r == 0 else (1 + beta**2) * p * r / (beta**2 * p + r)
 

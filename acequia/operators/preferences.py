@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,9 +60,6 @@ def near_pairs(df: DataFrame, id_column: str, ratio: float = 0.94, bucket: int =
     of more rows are left out, as a report may; by default none is: blocks of
     a bucket meet each other, so no task holds a whole bucket.
     """
-    import pandas as pd
-    from difflib import SequenceMatcher
-
     text = F.concat_ws("\n", squeeze(F.col("prompt")), squeeze(F.col("chosen")))
     size = lambda c: F.floor(token_count(squeeze(F.col(c))) / bucket)
     rows = df.select(F.col(id_column).alias("id"), text.alias("t"), size("prompt").alias("p"), size("chosen").alias("c"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
 import warnings
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +48,7 @@ def jsonl_captured(spark: SparkSession, path: str, schema: str) -> DataFrame:
     so this is for the many files of moderate size of a project. Blank lines
     keep their number and are left out.
     """
-    whole = spark.read.option("wholetext", "true").text(path).select(F.col("value"), F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("_source_file"))
+    whole = spark.read.text(path, wholetext=True).select(F.col("value"), F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("_source_file"))
     text = F.regexp_replace("value", r"^\x{FEFF}", "")
     lines = whole.select("_source_file", F.posexplode(F.split(text, r"\r\n|\n|\r")).alias("n", "line")).where(F.trim("line") != "")
     wanted = T.StructType.fromDDL(schema)
@@ -77,10 +79,6 @@ def year_union(spark: SparkSession, paths: list[str], prefix: bool = False) -> D
 
 def consolidate(frames: list[DataFrame], legacy: dict[str, str], id_column: str = "id") -> DataFrame:
     """Tables with old and new headers as one, ids in NFC, with date, number and legislature that the id spells."""
-    import unicodedata
-
-    import pandas as pd
-
     from acequia.operators.dedup import stack
     from acequia.operators.projection import rename_by
 
@@ -91,7 +89,7 @@ def consolidate(frames: list[DataFrame], legacy: dict[str, str], id_column: str
     df = stack(*[rename_by(f, legacy) for f in frames]).withColumn(id_column, nfc(F.col(id_column).cast("string")))
     i = F.col(id_column)
     part = lambda p: F.nullif(F.regexp_extract(i, p, 1), F.lit(""))
-    return df.withColumns({"date": F.try_to_date(part(r"(\d{4}-\d{2}-\d{2})"), "yyyy-MM-dd"), "number": part(r"[_-](?:n|num)?(\d{1,4})(?:[_.-]|$)"), "legislature": part(r"(?i)(?:leg|l)(\d{1,2}|[ivxl]+)\b")})
+    return df.withColumns({"date": F.try_to_date(part(r"(\d{4}-\d{2}-\d{2})"), "yyyy-MM-dd"), "number": part(r"(?i)(?:^|[_-])n(?:um)?[._-]?(\d{1,4})(?:[_.-]|$)"), "legislature": part(r"(?i)(?:^|[_-])l(?:eg)?[._-]?(\d{1,2}|[ivxl]+)(?:[_.-]|$)")})
 
 
 def wide_answers(df: DataFrame, item: str, pattern: str) -> DataFrame:
