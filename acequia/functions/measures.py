@@ -90,6 +90,60 @@ def bleu(candidate: str | None, reference: str | None, orders: int = 4) -> float
     return min(1.0, math.exp(1 - len(r) / len(c))) * math.exp(logs / orders)
 
 
+def rouge_n(candidate: str | None, reference: str | None, n: int = 1) -> float:
+    """F1 of token n-grams; 1 if both texts have none, 0 if one has."""
+    c, r = (_grams(_TOKEN.findall((t or "").lower()), n) for t in (candidate, reference))
+    if not c or not r:
+        return float(not c and not r)
+    return 2 * _shared(c, r) / (c.total() + r.total())
+
+
+def rouge_l(candidate: str | None, reference: str | None) -> float:
+    """F1 of the longest common subsequence of tokens.
+
+    Rows of the table of lengths are bits of one number, so a row costs a few
+    operations on whole numbers.
+    """
+    c, r = (_TOKEN.findall((t or "").lower()) for t in (candidate, reference))
+    if not c or not r:
+        return float(not c and not r)
+    places: dict[str, int] = {}
+    for i, t in enumerate(c):
+        places[t] = places.get(t, 0) | 1 << i
+    full = (1 << len(c)) - 1
+    row = full
+    for t in r:
+        hit = row & places.get(t, 0)
+        row = ((row + hit) | (row - hit)) & full
+    common = len(c) - row.bit_count()
+    return 2 * common / (len(c) + len(r))
+
+
+def ter(hypothesis: str | None, reference: str | None) -> float:
+    """Edits of tokens that turn one text into the other, by the reference's tokens; without moves of blocks."""
+    h, r = (_TOKEN.findall((t or "").lower()) for t in (hypothesis, reference))
+    if not r:
+        return float(bool(h))
+    before = np.arange(len(r) + 1)
+    ids: dict[str, int] = {}
+    target = np.array([ids.setdefault(t, len(ids)) for t in r])
+    steps = np.arange(len(r) + 1)
+    for i, t in enumerate(h, 1):
+        now = np.minimum(before[1:] + 1, before[:-1] + (target != ids.get(t, -1)))
+        now = np.concatenate([[i], now])
+        before = np.minimum.accumulate(now - steps) + steps
+    return float(before[-1] / len(r))
+
+
+_OVERLAP = T.StructType([T.StructField(n, T.DoubleType()) for n in ("rouge_1", "rouge_2", "rouge_l", "ter")])
+
+
+@F.pandas_udf(_OVERLAP)
+def overlap_columns(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    rows = [(rouge_n(x, y, 1), rouge_n(x, y, 2), rouge_l(x, y), ter(x, y)) for x, y in zip(a, b)]
+    return pd.DataFrame(rows, columns=["rouge_1", "rouge_2", "rouge_l", "ter"])
+
+
 @F.pandas_udf(T.DoubleType())
 def chrf_column(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([chrf(x, y) for x, y in zip(a, b)])

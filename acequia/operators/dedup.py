@@ -41,9 +41,13 @@ def keep_first(df: DataFrame, keys: list[str | Column], order: list[str]) -> Dat
 
 
 def text_dedup(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """One row by text, the one with the least id; rows with a null text count as one text."""
-    firsts = df.groupBy(F.sha2(text, 256).alias("__h")).agg(F.min(id_column).alias("__first"))
-    return df.join(firsts, F.sha2(text, 256).eqNullSafe(F.col("__h")) & (F.col(id_column) == F.col("__first"))).select(*df.columns).dropDuplicates([id_column])
+    """One row by text, the one with the least id; rows with a null text count as one text.
+
+    Only hashes are grouped; the rows are then picked by id, so a text with a
+    third of all rows is one row a task before the shuffle and spread after it.
+    """
+    firsts = df.groupBy(F.sha2(text, 256).alias("__h")).agg(F.min(id_column).alias(id_column)).select(id_column)
+    return df.join(firsts, id_column, "left_semi").dropDuplicates([id_column])
 
 
 def text_groups(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from acequia.functions.text import clean, shuffle_key
 from acequia.operators import aggregates, dedup, filters, joins, minhash, projection, sampling
 from acequia.operators.ordering import running
 from acequia.plans.text_queries import clean_sql, counted, docs, read, tokens_sql
+from acequia.session import checkpoint_root
+from acequia.sources import readers, writers
 
 SEED = 42
 TARGETS = {"Boletin_Sierra_Norte": 5000, "Pliegos_Menores": 2000, "No_Existe": 10}
@@ -97,6 +101,32 @@ def topic_sample_trimmed(spark, d):
     return sampling.trim_to_total(rows, "source", "doc_id", rows.count() - 15)
 
 
+def topic_sample_filled(spark, d):
+    rows = docs(spark, d).select("doc_id", "source")
+    first = sampling.rows_equal(rows, 3)
+    return sampling.fill_to_total(first, rows, "source", "doc_id", 200)
+
+
+def jsonl_roundtrip(spark, d):
+    path = f"{checkpoint_root(spark)}/acequia/jsonl-{uuid.uuid4().hex}"
+    rows = docs(spark, d).select("doc_id", "text", "source")
+    writers.write_twin(rows, path)
+    back = readers.jsonl(spark, f"{path}.jsonl", "doc_id bigint, text string, source string")
+    return back.select("doc_id", "source", F.md5("text").alias("text_md5"))
+
+
+def csv_roundtrip(spark, d):
+    path = f"{checkpoint_root(spark)}/acequia/csv-{uuid.uuid4().hex}"
+    writers.write_csv(read(spark, d, "resources"), path, ["dataset", "reg_date", "domain"])
+    return readers.csv(spark, path)
+
+
+def parts_roundtrip(spark, d):
+    path = f"{checkpoint_root(spark)}/acequia/parts-{uuid.uuid4().hex}"
+    writers.write_parts(docs(spark, d).select("doc_id", "source"), path, ["doc_id"], 4)
+    return readers.parquet_tree(spark, path, ["doc_id", "source"])
+
+
 def uniform_sample(spark, d):
     return sampling.uniform(docs(spark, d).select("doc_id"), 100, "doc_id")
 
@@ -347,6 +377,13 @@ ORACLES = {
     "topic_sample_trimmed": f"""
       WITH {_T}, s AS (SELECT source, count(*) AS n, arg_max(doc_id, (k, doc_id)) AS last FROM t GROUP BY 1 HAVING count(*) > 3 ORDER BY n DESC, source LIMIT 15)
       SELECT doc_id, source FROM t WHERE doc_id NOT IN (SELECT last FROM s)""",
+    "topic_sample_filled": f"""
+      WITH {_T}, r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY k, doc_id) AS n FROM t), s AS (SELECT doc_id, source FROM r WHERE n <= 3 AND source IS NOT NULL),
+        x AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY k, doc_id) AS m, count(*) OVER (PARTITION BY source) AS c FROM t WHERE doc_id NOT IN (SELECT doc_id FROM s))
+      SELECT * FROM s UNION ALL (SELECT doc_id, source FROM x ORDER BY m, c DESC, k, doc_id LIMIT greatest(0, 200 - (SELECT count(*) FROM s)))""",
+    "jsonl_roundtrip": "SELECT doc_id, source, md5(text) AS text_md5 FROM documents",
+    "csv_roundtrip": "SELECT dataset, reg_date, domain FROM resources",
+    "parts_roundtrip": "SELECT doc_id, source FROM documents",
     "uniform_sample": f"WITH {_T} SELECT doc_id FROM t ORDER BY k, doc_id LIMIT 100",
     "random_styles": f"SELECT doc_id, ['formal', 'breve', 'llano'][CAST(('0x' || substr({_KEY}, 1, 8))::BIGINT % 3 + 1 AS INTEGER)] AS style FROM documents",
     "all_styles": "SELECT doc_id, unnest(['formal', 'breve', 'llano']) AS style FROM documents",
@@ -406,7 +443,7 @@ QUERIES = {
     for f in (
         sample_tokens_stratified, sample_tokens_equal, sample_tokens_per_source, sample_docs_stratified, sample_docs_equal, sample_docs_per_source, sample_category_tokens, sample_category_rows,
         sample_category_specific_tokens, sample_category_specific_rows, balanced_eval_sample, running_tokens, shuffled_order, split_fixed, split_ratio, split_contiguous, split_by_group, annotation_blocks,
-        topic_quota_sample, topic_sample_trimmed, uniform_sample, random_styles, all_styles, exact_dedup_keep_first, duplicate_id_report, duplicate_groups, keyed_dedup, text_then_id_dedup, duplicate_counters,
+        topic_quota_sample, topic_sample_trimmed, topic_sample_filled, jsonl_roundtrip, csv_roundtrip, parts_roundtrip, uniform_sample, random_styles, all_styles, exact_dedup_keep_first, duplicate_id_report, duplicate_groups, keyed_dedup, text_then_id_dedup, duplicate_counters,
         fingerprint_report, best_annotation, merge_existing_wins, resume_anti_join, append_unique_rows, widened_union, minhash_dedup, minhash_short, map_source_ids, enrich_metadata_json, two_key_join,
         counts_attached, answers_of_both, retrieval_join, random_distractors, stats_grouping_sets, corpus_summary, domain_rollup, registry_upsert, divisor_values, tokens_by_value, number_distribution,
         length_distribution, reject_summary, kept_summary, metric_summary, model_wins, category_distribution, cluster_dominance, system_scores, big_groups, group_values, running_ids, cleaned_changes,

@@ -50,6 +50,11 @@ def segment_scores(spark, d):
     return rows.select("sample_id", F.round(measures.chrf_column("chosen", "rejected"), 6).alias("chrf"), F.round(measures.bleu_column("chosen", "rejected"), 6).alias("bleu"))
 
 
+def overlap_scores(spark, d):
+    rows = _pairs(spark, d).where("chosen is not null and rejected is not null").select("sample_id", measures.overlap_columns("chosen", "rejected").alias("s"))
+    return rows.select("sample_id", *[F.round(f"s.{n}", 6).alias(n) for n in ("rouge_1", "rouge_2", "rouge_l", "ter")])
+
+
 def corpus_bleu(spark, d):
     return metrics.corpus_bleu(_pairs(spark, d).where("chosen is not null and rejected is not null"), "chosen", "rejected")
 
@@ -301,7 +306,7 @@ ORACLES = {
 QUERIES = {
     f.__name__: f
     for f in (
-        preference_reject, preference_reject_measured, preference_dedup, preference_pair_dedup, preference_summary, preference_audit, segment_scores, corpus_bleu, judge_pairs, judged_pairs,
+        preference_reject, preference_reject_measured, preference_dedup, preference_pair_dedup, preference_summary, preference_audit, segment_scores, overlap_scores, corpus_bleu, judge_pairs, judged_pairs,
         conversation_fold, conversation_unfold, instruction_texts, bidirectional_pairs, question_fan_out, conversation_flatten, contrastive_triplets, question_tables, chunk_names, flat_columns,
         negatives_by_query, last_value_pivot, vote_pivot, majority_vote, fleiss_kappa, gold_check, label_agreement, vector_topk, vector_topk_l2, persona_top5, hard_negatives, ir_metrics, hit_at_k,
         score_correlation, vector_norms, spherical_kmeans, pca_2d, diverse_selection,

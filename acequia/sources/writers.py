@@ -42,7 +42,7 @@ def write_rejected(df: DataFrame, path: str, reasons: str = "reasons") -> None:
 def write_csv(df: DataFrame, path: str, columns: list[str], lists: list[str] | None = None) -> None:
     """Columns in that order with a header; lists are joined by a bar."""
     shown = [F.concat_ws("|", c).alias(c) if c in (lists or []) else F.col(c) for c in columns]
-    df.select(*shown).write.option("header", "true").csv(path)
+    df.select(*shown).write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("quote", "\"").option("escape", "\"").csv(path)
 
 
 def append_new(existing: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -99,3 +99,36 @@ def test_dates(spark):
     w = df.select(dates.month_windows(F.col("a").cast("date"), F.col("b").cast("date"))).head()[0]
     assert [(str(x["from"]), str(x["to"])) for x in w] == [("2024-02-15", "2024-03-10"), ("2024-01-15", "2024-02-15")]
     assert df.select(dates.month_windows(F.col("b").cast("date"), F.col("a").cast("date"))).head()[0] == []
+
+
+def plain_lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+        row = new
+    return row[-1]
+
+
+def plain_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_rouge_and_edits():
+    import random
+
+    rng = random.Random(2)
+    for _ in range(60):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(1, 20))] for _ in range(2))
+        x, y = " ".join(a), " ".join(b)
+        assert measures.rouge_l(x, y) == pytest.approx(2 * plain_lcs(a, b) / (len(a) + len(b)))
+        assert measures.ter(x, y) == pytest.approx(plain_edits(a, b) / len(b))
+    assert measures.rouge_n("a b c", "a b d", 1) == pytest.approx(2 / 3) and measures.rouge_n("a b c", "a b d", 2) == 0.5
+    assert measures.rouge_l(None, "") == 1.0 and measures.rouge_l("a", None) == 0.0 and measures.ter("a", "") == 1.0 and measures.ter("", "") == 0.0
