@@ -35,9 +35,9 @@ def keep_first(df: DataFrame, keys: list[str | Column], order: list[str]) -> Dat
     shrinks to one row a task before anything is shuffled.
     """
     names = [f"__k{i}" for i in range(len(keys))]
-    row = F.struct(*[F.col(o) for o in order], F.struct(*[F.col(c) for c in df.columns]).alias("__row"))
-    keyed = df.select(*[(F.col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(keys, names)], row.alias("__r"))
-    return keyed.groupBy(*names).agg(F.min("__r").alias("__r")).select("__r.__row.*")
+    row = F.struct(*[F.col(c) for c in df.columns])
+    keyed = df.select(*[(F.col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(keys, names)], F.struct(*order).alias("__o"), row.alias("__r"))
+    return keyed.groupBy(*names).agg(F.min_by("__r", "__o").alias("__r")).select("__r.*")
 
 
 def text_dedup(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
