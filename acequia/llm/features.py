@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,6 +74,13 @@ def by_row(ufunc: np.ufunc, values: np.ndarray, counts: np.ndarray, empty: int =
     return out
 
 
+def lists(counts: np.ndarray, values: pa.Array) -> pa.Array:
+    """A list array of values lying one after another."""
+    offsets = np.zeros(len(counts) + 1, dtype=np.int32)
+    np.cumsum(counts, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
 def signed(x: np.ndarray) -> list[int]:
     return x.view(np.int64).tolist()
 
@@ -108,12 +116,11 @@ def frequencies(rows: DataFrame, columns: list[str], of_elements: bool, weights:
         return {"b": [*some.tolist(), -1], "n": [*n[some].tolist(), len(batch[columns[0]])], "w": [*most[some].tolist(), 0.0]}
 
     table = map_rows(rows.select(*columns), run, "b int, n bigint, w double").groupBy("b").agg(F.sum("n").alias("n"), F.max("w").alias("w"))
-    pdf = table.toPandas()
+    got = table.toArrow()
+    b, counts, weight = (got[c].to_numpy() for c in ("b", "n", "w"))
     n, w = np.zeros(size, dtype=np.int64), np.zeros(size)
-    total = int(pdf.loc[pdf["b"] < 0, "n"].sum())
-    pdf = pdf[pdf["b"] >= 0]
-    n[pdf["b"]] = pdf["n"]
-    w[pdf["b"]] = pdf["w"]
+    n[b[b >= 0]], w[b[b >= 0]] = counts[b >= 0], weight[b >= 0]
+    total = int(counts[b < 0].sum())
     return n, w, total
 
 
@@ -142,7 +149,7 @@ def likely_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """
     size = 1 << ID_BITS
     spot: Column = F.pmod(F.xxhash64(F.col(wanted.columns[0]).cast("string")), F.lit(size))
-    spots = wanted.select(spot.cast("int").alias("s")).distinct().toPandas()["s"].to_numpy(dtype=np.int64)
+    spots = wanted.select(spot.cast("int").alias("s")).distinct().toArrow()["s"].to_numpy()
     bits = np.zeros(size, dtype=bool)
     bits[spots] = True
     shared = rows.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())

@@ -13,10 +13,11 @@ cosine of their lengths. Survivors get exact dot products and word overlaps.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acequia.llm.features import Multisets, bucket, by_row, common_words, frequencies, likely_among, mix, signed
+from acequia.llm.features import Multisets, bucket, by_row, common_words, frequencies, likely_among, lists, mix, signed
 from acequia.llm.text import map_rows, not_blank, source_name
 from acequia.session import materialize
 
@@ -58,11 +59,11 @@ def vectors(rows: DataFrame, first: str, second: str, similarity: float) -> Data
         keep = (left >= (least - 1e-9) ** 2) & (behind - tail[row] >= least - 1e-9)
         rest = np.sqrt(np.clip(left - squares, 0.0, 1.0))
         weight = np.sqrt(squares)
-        lists: list[list] = [[] for _ in batch["id"]]
-        for r, x, w, z in zip(row[keep].tolist(), signed(h[keep]), weight[keep].tolist(), rest[keep].tolist()):
-            lists[r].append({"word": x, "w": w, "rest": z})
         some = np.nonzero((one.size > 0) & (two.size > 0))[0]
         at = some.tolist()
+        keep &= (two.size > 0)[row]
+        kinds = np.bincount(row[keep], minlength=len(one.size))[some]
+        indexed = pa.StructArray.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(weight[keep].astype(np.float32)), pa.array(rest[keep].astype(np.float32))], ["word", "w", "rest"])
         return {
             "id": [batch["id"][i] for i in at],
             "part": [batch["part"][i] for i in at],
@@ -72,7 +73,7 @@ def vectors(rows: DataFrame, first: str, second: str, similarity: float) -> Data
             "m": two.size[some].tolist(),
             "bits": signed(_bits(e, one.size)[some]),
             "bits2": signed(_bits(f, two.size)[some]),
-            "lists": [lists[i] for i in at],
+            "lists": lists(kinds, indexed),
         }
 
     schema = f"id {id_type}, part int, c1 bigint, c2 bigint, n int, m int, bits bigint, bits2 bigint, lists array<struct<word: bigint, w: float, rest: float>>"

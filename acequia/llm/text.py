@@ -51,7 +51,7 @@ def not_blank(column: str | Column) -> Column:
 
 
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
-    """Run ``fn`` over Arrow batches: lists by column in, lists by column out."""
+    """Run ``fn`` over Arrow batches: lists by column in, lists or Arrow arrays by column out."""
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -62,7 +62,7 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], sc
         for batch in batches:
             out = fn(batch.to_pydict())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow
+                [out[f.name].cast(f.type) if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow
             )
 
     return df.mapInArrow(run, schema)
