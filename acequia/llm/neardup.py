@@ -12,6 +12,7 @@ accidental ones; the rest are compared exactly.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from acequia.session import materialize
 
 #: Bands of minima, and minima by band. A pair of weighted similarity .7 is missed with a probability of 2e-6, one of .6 with .001.
 BANDS, ROWS = 48, 4
+#: Rows whose minima are taken at once.
+CHUNK = 256
 #: Low bits kept of each minimum.
 BITS = 2
 #: Share of records, or number of records if that is more, from which on an element weighs less.
@@ -49,8 +52,8 @@ def signatures(texts: DataFrame, bands: int = BANDS, per_band: int = ROWS) -> Da
     id_type = texts.schema["id"].dataType.simpleString()
     minima = bands * per_band
     rng = np.random.default_rng(20240101)
-    odd = rng.integers(0, 2**63, minima, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    add = rng.integers(0, 2**63, minima, dtype=np.uint64)
+    odd = rng.integers(0, 2**31, minima, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    add = rng.integers(0, 2**31, minima, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     lanes = 64 // BITS
 
     def sign(batch: dict[str, list]) -> dict[str, list]:
@@ -58,22 +61,40 @@ def signatures(texts: DataFrame, bands: int = BANDS, per_band: int = ROWS) -> Da
         row, e = sets.elements()
         n = sets.size
         c1, c2 = by_row(np.add, e, n), by_row(np.add, mix(e + np.uint64(0x51ED270B)), n)
-        weight = shared.value[features.bucket(e)].astype(np.float64)
-        some = n > 0
+        weight = shared.value[features.bucket(e)]
+        short = (e >> np.uint64(32)).astype(np.uint32)
+        starts = np.cumsum(n) - n
         lows = np.zeros((len(n), -(-minima // lanes)), dtype=np.uint64)
         keys = np.zeros((len(n), bands), dtype=np.uint64)
-        for k in range(minima):
-            h = ((e * odd[k] + add[k]) >> np.uint64(32)).astype(np.float64) * weight
-            low = mix(by_row(np.minimum, h, n).view(np.uint64))
-            keys[:, k // per_band] = mix(keys[:, k // per_band] ^ low) + np.uint64(k // per_band)
-            lows[:, k // lanes] |= (low & np.uint64((1 << BITS) - 1)) << np.uint64(BITS * (k % lanes))
+        by_size = np.argsort(n, kind="stable")
+        for first in range(0, len(n), CHUNK):  # rows of like size side by side, so few that they stay in the cache
+            rows = by_size[first : first + CHUNK]
+            width = max(1, int(n[rows].max()))
+            inside = np.arange(width) < n[rows][:, None]
+            x, w = np.zeros((len(rows), width), dtype=np.uint32), np.full((len(rows), width), np.inf, dtype=np.float32)
+            places = (starts[rows][:, None] + np.arange(width))[inside]
+            x[inside], w[inside] = short[places], weight[places]
+            h, turned, scaled = np.empty_like(x), np.empty_like(x), np.empty_like(w)
+            for k in range(minima):
+                np.multiply(x, odd[k], out=h)
+                np.right_shift(h, 15, out=turned)
+                np.bitwise_xor(h, turned, out=h)
+                np.multiply(h, add[k], out=h)
+                np.right_shift(h, 1, out=h)
+                np.copyto(scaled, h.view(np.int32), casting="unsafe")
+                np.add(scaled, np.float32(1), out=scaled)
+                np.multiply(scaled, w, out=scaled)
+                low = mix(scaled.min(axis=1).view(np.uint32).astype(np.uint64) + np.uint64(k))
+                keys[rows, k // per_band] = mix(keys[rows, k // per_band] ^ low) + np.uint64(k // per_band)
+                lows[rows, k // lanes] |= (low & np.uint64((1 << BITS) - 1)) << np.uint64(BITS * (k % lanes))
+        some = n > 0
         at = np.nonzero(some)[0].tolist()
         return {
             "id": [batch["id"][i] for i in at],
             "c1": signed(c1[some]),
             "c2": signed(c2[some]),
-            "bits": lows[some].view(np.int64).tolist(),
-            "bands": keys[some].view(np.int64).tolist(),
+            "bits": features.lists(np.full(len(at), lows.shape[1]), pa.array(lows[some].view(np.int64).ravel())),
+            "bands": features.lists(np.full(len(at), bands), pa.array(keys[some].view(np.int64).ravel())),
         }
 
     return map_rows(texts, sign, f"id {id_type}, c1 bigint, c2 bigint, bits array<bigint>, bands array<bigint>")
