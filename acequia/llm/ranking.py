@@ -11,8 +11,6 @@ smoothing to count in full.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,7 +149,7 @@ def strengths(edges: DataFrame, edges_in_memory: int = EDGES_IN_MEMORY) -> DataF
     edges = materialize(edges, "edges")
     if edges.count() > edges_in_memory:
         return solve_distributed(edges)
-    rows: Iterable = edges.toPandas().sort_values(["a", "b"])
+    rows = edges.toArrow().to_pandas().sort_values(["a", "b"])
     names = sorted(set(rows["a"]) | set(rows["b"]))
     index = {x: i for i, x in enumerate(names)}
     x = solve(
