@@ -72,7 +72,7 @@ WHERE 5 * x.common >= 4 * (len(ra.ws) + len(rb.ws) - x.common)
 """
 
 P7_FOUND = f"""
-WITH d AS (SELECT doc_id, {_words(r"regexp_replace(text, '([\p{L}\p{N}])[-‐‑\x{AD}][ \t]*(?:\r\n|\r|\n)\s*([\p{L}\p{N}])', '\1\2', 'g')")} AS ws
+WITH d AS (SELECT doc_id, {_words(r"regexp_replace(text, '(\p{L})[-‐‑\x{AD}][ \t]*(?:\r\n|\r|\n)\s*(\p{L})', '\1\2', 'g')")} AS ws
   FROM documents WHERE text IS NOT NULL),
   i AS (SELECT item_id, {_words('passage')} AS ws FROM eval_items WHERE passage IS NOT NULL),
   dg AS (SELECT DISTINCT doc_id, ws[k : k + 11] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 10)) AS k FROM d)),

@@ -43,7 +43,7 @@ _TOKEN = re.compile(r"\w+|[^\w\s]")
 _VERB = re.compile(r"[^\W_]{2,}(?:ó|aron|ieron|aba|aban|ía|ían|ará|arán|erá|erán|irá|irán)\b")
 _END = re.compile(r"[.!?…]+[\"»”’')\]]*(?:\s+|$)")
 _WRAP = re.compile(r"(?<=[^\s.!?…:;|>])[ \t]*(?:\r\n|\r|\n)[ \t]*(?=[a-záéíóúüñàèòçâêôãõ0-9(])")
-_HYPHEN = re.compile(r"(?<=\w)[-­](?:\r\n|\r|\n)(?=\w)")
+_HYPHEN = re.compile(r"(?<=\w)[-\u00ad](?:\r\n|\r|\n)(?=\w)")
 
 
 def covered(tokens: list[str]) -> list[bool]:

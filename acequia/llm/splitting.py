@@ -30,7 +30,7 @@ ABBREVIATIONS = frozenset(
     """.split()
 )
 
-_BREAK = re.compile(r"(?:\r\n|[\n\r\x0b\x0c\x85  ])\s*")
+_BREAK = re.compile(r"(?:\r\n|[\n\r\x0b\x0c\x85\u2028\u2029])\s*")
 _STOP = re.compile(r"([.!?…]+)[\"»”’'\)\]\}›]*\s+")
 _LAST = re.compile(r"[^\s\"«“‘'(\[{‹¿¡,;:|/–—]+$")
 
