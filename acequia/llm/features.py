@@ -15,16 +15,23 @@ from acequia.llm.text import map_rows, words
 #: Buckets of the table of frequencies. Its size is the same for any corpus.
 BUCKET_BITS = 18
 _KEEP = 400_000
-_hashes: dict[str, int] = {}
+
+
+class _Hashes(dict):
+    """Hashes of words, worked out once and remembered, up to _KEEP of them."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _KEEP:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_hashes = _Hashes()
 
 
 def _hash(word: str) -> int:
-    h = _hashes.get(word)
-    if h is None:
-        if len(_hashes) >= _KEEP:
-            _hashes.clear()
-        h = _hashes[word] = xxhash.xxh64_intdigest(word)
-    return h
+    return _hashes[word]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,20 +47,24 @@ class Multisets:
     """Words of a list of texts: by text, each different word's hash and how often it occurs."""
 
     def __init__(self, texts: list[str | None]):
-        hashes: list[int] = []
-        times: list[int] = []
+        flat: list[int] = []
+        hashed = _hashes.__getitem__
         sizes = np.zeros(len(texts), dtype=np.int64)
-        kinds = np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
-            count = Counter(words(text))
-            hashes += map(_hash, count)
-            times += count.values()
-            kinds[i] = len(count)
-        self.hash = np.array(hashes, dtype=np.uint64)
-        self.times = np.array(times, dtype=np.int64)
-        self.kinds = kinds
-        self.row = np.repeat(np.arange(len(texts)), kinds)
-        np.add.at(sizes, self.row, self.times)
+            found = words(text)
+            sizes[i] = len(found)
+            flat += map(hashed, found)
+        h = np.array(flat, dtype=np.uint64)
+        row = np.repeat(np.arange(len(texts)), sizes)
+        # equal words of a row side by side: rows in the upper bits, most of the hash in the lower
+        order = np.argsort((row.astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20)))
+        h, row = h[order], row[order]
+        first = np.ones(len(h), dtype=bool)
+        first[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+        starts = np.nonzero(first)[0]
+        self.hash, self.row = h[starts], row[starts]
+        self.times = np.diff(np.append(starts, len(h)))
+        self.kinds = np.bincount(self.row, minlength=len(texts))
         self.size = sizes
 
     def elements(self) -> tuple[np.ndarray, np.ndarray]:

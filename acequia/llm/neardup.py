@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acequia.llm import features
@@ -125,7 +125,10 @@ def near_classes(rows: DataFrame, id_column: str, text_columns: list[str], simil
     reps = signed_rows.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
     members = signed_rows.select("id", "c1", "c2").join(reps, ["c1", "c2"]).select("id", "rep")
     firsts = signed_rows.select("id", "bits", "bands").join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
-    keyed = firsts.select("id", F.explode("bands").alias("key"))
+    # most band keys stand alone: one sort finds the others, and only those are joined
+    among = F.count("*").over(Window.partitionBy("key"))
+    keyed = firsts.select("id", F.explode("bands").alias("key")).withColumn("n", among).where("n > 1").select("id", "key")
+    keyed = materialize(keyed, "shared-bands")
     pairs = (
         keyed.select(F.col("id").alias("a"), "key")
         .join(keyed.select(F.col("id").alias("b"), "key"), "key")
