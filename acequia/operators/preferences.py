@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from acequia.functions.measures import bleu_column, chrf_column, length_ratio
 from acequia.functions.text import hash_parts, squeeze, token_count
 from acequia.operators.filters import reasons
+from acequia.operators.minhash import signatures
+from acequia.session import materialize
 
 
 def measured(df: DataFrame) -> DataFrame:
@@ -53,19 +55,22 @@ def with_duplicates(df: DataFrame, order: list[str], reasons_column: str = "reas
     return joined.select(*[c for c in df.columns if c != reasons_column], F.when(later, F.array(name)).otherwise(F.col(reasons_column)).alias(reasons_column))
 
 
-def near_pairs(df: DataFrame, id_column: str, ratio: float = 0.94, bucket: int = 25, most: int | None = None) -> DataFrame:
-    """(a, b, ratio): pairs of one length bucket whose prompts with answers are alike by difflib's ratio.
+def near_pairs(df: DataFrame, id_column: str, ratio: float = 0.94, bucket: int = 25, bands: int = 32, rows: int = 4) -> DataFrame:
+    """(a, b, ratio): different texts of prompt and chosen that are alike by difflib's ratio, by their least ids.
 
-    The buckets are those of prompt and chosen tokens. With ``most``, buckets
-    of more rows are left out, as a report may; by default none is: blocks of
-    a bucket meet each other, so no task holds a whole bucket.
+    Both must be of one length bucket of prompt and chosen tokens. Equal texts
+    are one class and aren't compared. Candidates share a MinHash band of
+    pairs of words, so that no bucket is compared all with all; texts as alike
+    as the default asks for are missed about once in a thousand.
     """
     text = F.concat_ws("\n", squeeze(F.col("prompt")), squeeze(F.col("chosen")))
     size = lambda c: F.floor(token_count(squeeze(F.col(c))) / bucket)
-    rows = df.select(F.col(id_column).alias("id"), text.alias("t"), size("prompt").alias("p"), size("chosen").alias("c"))
-    if most is not None:
-        small = rows.groupBy("p", "c").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("p", "c")
-        rows = rows.join(small, ["p", "c"], "left_semi")
+    flat = df.select(F.col(id_column).alias("id"), text.alias("t"), size("prompt").alias("p"), size("chosen").alias("c"))
+    firsts = flat.groupBy(F.sha2("t", 256).alias("h")).agg(F.min("id").alias("id")).select("id")
+    texts = materialize(flat.join(firsts, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    keyed = signatures(texts, "t", "id", 2, bands, rows).join(texts.select("id", "p", "c"), "id").select("id", "p", "c", F.explode("keys").alias("key"))
+    keyed = materialize(keyed, "bands")
+    near = keyed.withColumnRenamed("id", "a").join(keyed.withColumnRenamed("id", "b"), ["key", "p", "c"]).where("a < b").select("a", "b").distinct()
 
     @F.pandas_udf("double")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -75,7 +80,7 @@ def near_pairs(df: DataFrame, id_column: str, ratio: float = 0.94, bucket: int =
 
         return pd.Series([one(a, b) for a, b in zip(x, y)])
 
-    pairs = rows.select(F.col("id").alias("a"), F.col("t").alias("x"), "p", "c").join(rows.select(F.col("id").alias("b"), F.col("t").alias("y"), "p", "c"), ["p", "c"]).where("a < b")
+    pairs = near.join(texts.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
     return pairs.select("a", "b", F.round(alike("x", "y"), 6).alias("ratio")).where(F.col("ratio") >= ratio)
 
 

@@ -59,6 +59,10 @@ def corpus_bleu(spark, d):
     return metrics.corpus_bleu(_pairs(spark, d).where("chosen is not null and rejected is not null"), "chosen", "rejected")
 
 
+def near_dup_pairs(spark, d):
+    return preferences.near_pairs(_pairs(spark, d), "sample_id")
+
+
 def judge_pairs(spark, d):
     rows = read(spark, d, "responses").where("response is not null")
     out = preferences.judge_pairs(rows.where("model = 'bruma-2b'"), rows.where("model = 'garza-7b'"), "prompt_id", ["created_at"], "response")
@@ -306,7 +310,7 @@ ORACLES = {
 QUERIES = {
     f.__name__: f
     for f in (
-        preference_reject, preference_reject_measured, preference_dedup, preference_pair_dedup, preference_summary, preference_audit, segment_scores, overlap_scores, corpus_bleu, judge_pairs, judged_pairs,
+        preference_reject, preference_reject_measured, preference_dedup, preference_pair_dedup, preference_summary, preference_audit, segment_scores, overlap_scores, corpus_bleu, near_dup_pairs, judge_pairs, judged_pairs,
         conversation_fold, conversation_unfold, instruction_texts, bidirectional_pairs, question_fan_out, conversation_flatten, contrastive_triplets, question_tables, chunk_names, flat_columns,
         negatives_by_query, last_value_pivot, vote_pivot, majority_vote, fleiss_kappa, gold_check, label_agreement, vector_topk, vector_topk_l2, persona_top5, hard_negatives, ir_metrics, hit_at_k,
         score_correlation, vector_norms, spherical_kmeans, pca_2d, diverse_selection,
