@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from acequia.functions import measures
 from acequia.operators import aggregates, annotation, metrics, preferences, projection, vectors
 from acequia.plans.text_queries import read, tokens_sql
+from acequia.session import spread
 
 
 def _pairs(spark, d):
@@ -19,7 +20,7 @@ def preference_reject(spark, d):
 
 
 def preference_reject_measured(spark, d):
-    rows = preferences.measured(_pairs(spark, d))
+    rows = preferences.measured(spread(_pairs(spark, d).select("sample_id", "prompt", "chosen", "rejected")))
     return rows.select("sample_id", F.round("chrf", 6).alias("chrf"), F.round("bleu", 6).alias("bleu"), F.array_join(preferences.reject_reasons(), ",").alias("reasons"))
 
 
@@ -46,12 +47,12 @@ def preference_audit(spark, d):
 
 
 def segment_scores(spark, d):
-    rows = _pairs(spark, d).where("chosen is not null and rejected is not null")
+    rows = spread(_pairs(spark, d).where("chosen is not null and rejected is not null").select("sample_id", "chosen", "rejected"))
     return rows.select("sample_id", F.round(measures.chrf_column("chosen", "rejected"), 6).alias("chrf"), F.round(measures.bleu_column("chosen", "rejected"), 6).alias("bleu"))
 
 
 def overlap_scores(spark, d):
-    rows = _pairs(spark, d).where("chosen is not null and rejected is not null").select("sample_id", measures.overlap_columns("chosen", "rejected").alias("s"))
+    rows = spread(_pairs(spark, d).where("chosen is not null and rejected is not null").select("sample_id", "chosen", "rejected")).select("sample_id", measures.overlap_columns("chosen", "rejected").alias("s"))
     return rows.select("sample_id", *[F.round(f"s.{n}", 6).alias(n) for n in ("rouge_1", "rouge_2", "rouge_l", "ter")])
 
 

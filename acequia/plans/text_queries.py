@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from acequia.functions import dates, jsontext
 from acequia.functions import text as X
 from acequia.operators import aggregates, chunking, dedup, filters, projection, quality, tfidf
+from acequia.session import spread
 from acequia.sources.html import html_to_text
 
 
@@ -113,7 +114,7 @@ def quality_document(spark, d):
 
 
 def quality_repetition(spark, d):
-    return docs(spark, d).where("text is not null").select("doc_id", F.array_join(quality.repetition_reasons(F.col("text")), ",").alias("reasons"))
+    return spread(docs(spark, d).where("text is not null").select("doc_id", "text")).select("doc_id", F.array_join(quality.repetition_reasons(F.col("text")), ",").alias("reasons"))
 
 
 def quality_lines(spark, d):
@@ -134,7 +135,7 @@ def sentence_context(spark, d):
 
 
 def semantic_chunks(spark, d):
-    return chunking.semantic_chunks(docs(spark, d), "source", "doc_id", "text")
+    return chunking.semantic_chunks(spread(docs(spark, d).select("source", "doc_id", "text")), "source", "doc_id", "text")
 
 
 def semantic_chunk_stats(spark, d):

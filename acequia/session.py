@@ -41,6 +41,15 @@ def materialize(df: DataFrame, label: str = "stage", partition_by: list[str] | N
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where it came in fewer parts, as one small file does; others as they are.
+
+    For the work of Python functions, which takes longer than moving the rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 @atexit.register
 def _clean() -> None:
     """Remove the tables of this run, as far as a context still stands."""
