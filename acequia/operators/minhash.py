@@ -1,29 +1,34 @@
-"""Near-duplicate removal with MinHash over word shingles.
-
-Five words a shingle; 25 bands of 12 minima by default. Within a band each
-key links its documents to the least of them, so a key with any number of
-documents gives one link each; the connected components are those of all
-pairs that share a band. Two documents of similarity s share one with a
-probability of 1 - (1 - s**rows)**bands: .83 at .8, .997 at .9 by default;
-more bands or fewer rows find more.
+"""Near-duplicate removal over word shingles, and MinHash signatures.
+
+Five words a shingle by default. Two documents are linked if their sets of
+shingles have a similarity of at least .8, found by an exact join
+(``setjoin``), so none is missed and none is linked for less; groups are the
+connected components of the links. Bands of minima, as in the published
+method, would miss 17 % of the pairs at .8 with 25 bands of 12 and link 29 %
+of those at .7.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acequia.operators import setjoin
 from acequia.session import materialize
 
+#: Words whose shingles are worked out at once.
+WORDS = 500_000
+
 
 def signatures(df: DataFrame, text: str, id_column: str, shingle: int, bands: int, rows: int) -> DataFrame:
     """(id, keys): a key of 64 bits by band of each document with a shingle."""
     import re
     import unicodedata
-    from collections.abc import Iterator
 
-    import pyarrow as pa
     import xxhash
 
     rng = np.random.default_rng(1)
@@ -69,27 +74,141 @@ def components(links: DataFrame) -> DataFrame:
         label = new.select("a", "label")
 
 
-def minhash_groups(df: DataFrame, text: str = "text", id_column: str = "doc_id", *, shingle: int = 5, bands: int = 25, rows: int = 12) -> DataFrame:
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser: every bit of the result depends on every bit of x."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Hashes(dict):
+    """Hashes of words, worked out once and remembered, up to a number of them."""
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        if len(self) >= 400_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_hashes = _Hashes()
+
+
+def shingle_sets(texts: list[str], shingle: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first, row, hash, n) of parts of the texts: the different shingles of each, by text, and their number."""
+    import re
+    import unicodedata
+
+    word = re.compile(r"[^\W_]+")
+
+    def part(first: int, flat: list[int], sizes: list[int]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        w, size = np.array(flat, dtype=np.uint64), np.array(sizes, dtype=np.int64)
+        last = max(0, len(w) - shingle + 1)
+        h = np.zeros(last, dtype=np.uint64)
+        for k in range(shingle):
+            h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + w[k : last + k] + np.uint64(1))
+        row = np.repeat(np.arange(len(size)), size)[:last]
+        inside = np.arange(last) + shingle <= np.cumsum(size)[row]
+        row, h = row[inside], h[inside]
+        order = np.lexsort((h, row))
+        row, h = row[order], h[order]
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+        return first, row[new], h[new], np.bincount(row[new], minlength=len(size))
+
+    first, flat, sizes = 0, [], []
+    for i, t in enumerate(texts):
+        found = word.findall(unicodedata.normalize("NFC", t.lower()))
+        flat += map(_hashes.__getitem__, found)
+        sizes.append(len(found))
+        if len(flat) >= WORDS:
+            yield part(first, flat, sizes)
+            first, flat, sizes = i + 1, [], []
+    if sizes:
+        yield part(first, flat, sizes)
+
+
+def shingle_counts(texts: DataFrame, shingle: int) -> np.ndarray:
+    """By bucket of shingle hashes, the number of texts (t) with each; one table of fixed size for any corpus."""
+    size = 1 << setjoin.BUCKET_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            for _, _, h, _ in shingle_sets(batch.column(0).to_pylist(), shingle):
+                n += np.bincount(setjoin.bucket(h), minlength=size)
+        some = np.nonzero(n)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], names=["b", "n"])
+
+    got = texts.select("t").mapInArrow(run, "b int, n bigint").groupBy("b").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size, dtype=np.int64)
+    out[got["b"].to_numpy()] = got["n"].to_numpy()
+    return out
+
+
+def shingle_links(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b), a < b, of texts (id, t): those with the same shingles as a star, and every two such classes of at least the similarity by their least ids."""
+    shared = texts.sparkSession.sparkContext.broadcast(shingle_counts(texts, shingle))
+    id_type = texts.schema["id"].dataType.simpleString()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, row, h, n in shingle_sets(batch.column(1).to_pylist(), shingle):
+                made = setjoin.columns(row, h, n, shared.value, similarity)
+                some = n > 0
+                starts = (np.cumsum(n) - n)[some]
+                classes = []
+                for turn in (0, 0x51ED270B):
+                    c = np.zeros(len(n), dtype=np.uint64)
+                    if len(h):
+                        c[some] = np.add.reduceat(_mix(h + np.uint64(turn)), starts)
+                    classes.append(pa.array(c.view(np.int64)))
+                arrays = [batch.column(0).slice(first, len(n)), *classes, *made.values()]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "c1", "c2", *made]).filter(pa.array(some))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (
+                [h[start : start + k] for _, _, h, n in shingle_sets(batch.column(c).to_pylist(), shingle) for start, k in zip((np.cumsum(n) - n).tolist(), n.tolist())]
+                for c in (2, 3)
+            )
+            common = [len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y)]
+            alike = pa.array([c >= similarity * (len(p) + len(q) - c) - 1e-9 for c, p, q in zip(common, x, y)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(alike)
+
+    signed = materialize(texts.select("id", "t").mapInArrow(sets, f"id {id_type}, c1 bigint, c2 bigint, {setjoin.SCHEMA}"), "shingles")
+    classes = signed.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
+    same = signed.select("id", "c1", "c2").join(classes, ["c1", "c2"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    firsts = signed.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").drop("c1", "c2")
+    pairs = materialize(setjoin.candidate_pairs(firsts, similarity), "candidates")
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("y")), "b").select("a", "b", "x", "y")
+    return both.mapInArrow(compare, f"a {id_type}, b {id_type}").unionByName(same)
+
+
+def minhash_groups(
+    df: DataFrame, text: str = "text", id_column: str = "doc_id", *, shingle: int = 5, bands: int = 25, rows: int = 12, similarity: float = 0.8
+) -> DataFrame:
     """(id, group_id, kept): each document with a text, its group, and whether it is the one that stays.
 
     Documents of one text form a class and are grouped without comparison;
     those with fewer words than a shingle are only grouped with their copies.
-    Classes that share a band are linked.
+    Classes whose shingle sets have the similarity are linked, all of them
+    and no others; ``bands`` and ``rows`` of the banded method are accepted
+    and decide nothing.
     """
     texts = df.where(F.col(text).isNotNull()).select(F.col(id_column).alias("id"), F.col(text).alias("t"))
     classes = materialize(texts.groupBy(F.sha2("t", 256).alias("h")).agg(F.min("id").alias("rep")), "classes")
-    reps = texts.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    signed = materialize(signatures(reps, "t", "id", shingle, bands, rows), "signatures")
-    banded = signed.select("id", F.explode("keys").alias("key"))
-    star = banded.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
-    links = banded.join(star, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    groups = components(links)
+    # copies go along, for hashing them again takes less than moving all texts; they meet as one set
+    links = shingle_links(texts, shingle, similarity).join(classes.select(F.col("rep").alias("b")), "b", "left_semi")
+    groups = components(materialize(links, "links"))
     members = texts.select("id", F.sha2("t", 256).alias("h")).join(classes, "h").select("id", "rep")
     placed = members.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("group_id", "rep").alias("group_id"))
     return placed.select("id", "group_id", (F.col("id") == F.col("group_id")).alias("kept"))
 
 
-def minhash_dedup(df: DataFrame, text: str = "text", id_column: str = "doc_id", **options: int) -> DataFrame:
+def minhash_dedup(df: DataFrame, text: str = "text", id_column: str = "doc_id", **options: float) -> DataFrame:
     """The documents that stay: one of each group, and those without a text."""
     out = minhash_groups(df, text, id_column, **options).where(~F.col("kept")).select(F.col("id").alias(id_column))
     return df.join(out, id_column, "left_anti")

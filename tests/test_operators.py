@@ -107,6 +107,29 @@ def test_minhash(spark):
     assert minhash.minhash_dedup(df.limit(0)).count() == 0
 
 
+def test_minhash_links_by_similarity(spark):
+    """Exactly the pairs of shingle similarity .8 and more are linked, whatever the bands."""
+    import random
+
+    rng = random.Random(3)
+    base = [[f"w{rng.randrange(400)}" for _ in range(70)] for _ in range(40)]
+    texts = [" ".join(w) for w in base]
+    for w in base:  # from one to four words changed: similarities of about .6 to .9
+        for edits in (1, 2, 3, 4):
+            v = list(w)
+            for at in rng.sample(range(0, 70, 6), edits):
+                v[at] = "x" + v[at]
+            texts.append(" ".join(v))
+    shingles = [{tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} for t in texts]
+    alike = [(i, j) for i in range(len(texts)) for j in range(i) if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])]
+    group = list(range(len(texts)))
+    for i, j in alike * 4:
+        group[i] = group[j] = min(group[i], group[j])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.id: r.group_id for r in minhash.minhash_groups(df, shingle=3, bands=8, rows=8).collect()}
+    assert got == dict(enumerate(group)) and len(set(group)) > 40 and len(alike) > 60
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (100, 102)]
     out = dict(minhash.components(spark.createDataFrame(chain, "a int, b int")).collect())
