@@ -6,7 +6,9 @@ is), since all records of a domain share their common words: so two unrelated
 records hardly agree in a minimum, and records that share most of their text
 agree in most. Bands of minima give candidates; the low bits of all minima,
 packed, give a collision-corrected estimate by bit counts that discards the
-accidental ones; the rest are compared exactly.
+accidental ones. Since every word counts as one in the overlap that is asked
+for, pairs that differ in rare words may agree in no band: an exact join of
+the rarest elements (``setjoin``) adds them. All are compared exactly.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ from pyspark.sql import functions as F
 from acequia.llm import features
 from acequia.llm.features import Multisets, by_row, common_words, frequencies, likely_among, mix, signed
 from acequia.llm.text import map_rows, not_blank
+from acequia.operators import setjoin
 from acequia.session import materialize
 
-#: Bands of minima, and minima by band. A pair of weighted similarity .7 is missed with a probability of 2e-6, one of .6 with .001.
+#: Bands of minima, and minima by band. A pair of weighted similarity .7 is missed by the bands with a probability of 2e-6, one of .6 with .001.
 BANDS, ROWS = 48, 4
 #: Rows whose minima are taken at once.
 CHUNK = 256
@@ -29,7 +32,7 @@ CHUNK = 256
 BITS = 2
 #: Share of records, or number of records if that is more, from which on an element weighs less.
 RARE, RARE_RECORDS = 0.004, 40
-#: Estimated weighted similarity below which a candidate is discarded, five deviations below what an overlap of .8 gives.
+#: Estimated weighted similarity below which a candidate of the bands is discarded; a pair lost here comes from the exact join.
 LEAST_ESTIMATE = 0.3
 
 
@@ -41,14 +44,14 @@ def records(rows: DataFrame, id_column: str, text_columns: list[str]) -> DataFra
     return rows.where(there & F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.concat_ws("\n", *text_columns).alias("text"))
 
 
-def signatures(texts: DataFrame, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
-    """(id, c1, c2, bits, bands): class, packed low bits and band keys of each record that has a word.
+def signatures(texts: DataFrame, bands: int = BANDS, per_band: int = ROWS, similarity: float = 0.8) -> DataFrame:
+    """(id, c1, c2, bits, bands, n, p1, p2, lead): class, packed low bits, band keys and columns of the exact join of each record that has a word.
 
     Records of one class have the same words equally often (128-bit hash).
     """
     count, _, total = frequencies(texts, ["text"], of_elements=True)
     stretch = np.maximum(1.0, count / max(RARE * total, RARE_RECORDS))
-    shared = texts.sparkSession.sparkContext.broadcast(np.minimum(stretch, 1 << 20).astype(np.float32))
+    shared = texts.sparkSession.sparkContext.broadcast((np.minimum(stretch, 1 << 20).astype(np.float32), count))
     id_type = texts.schema["id"].dataType.simpleString()
     minima = bands * per_band
     rng = np.random.default_rng(20240101)
@@ -61,7 +64,8 @@ def signatures(texts: DataFrame, bands: int = BANDS, per_band: int = ROWS) -> Da
         row, e = sets.elements()
         n = sets.size
         c1, c2 = by_row(np.add, e, n), by_row(np.add, mix(e + np.uint64(0x51ED270B)), n)
-        weight = shared.value[features.bucket(e)]
+        stretched, count = shared.value
+        weight = stretched[features.bucket(e)]
         short = (e >> np.uint64(32)).astype(np.uint32)
         starts = np.cumsum(n) - n
         lows = np.zeros((len(n), -(-minima // lanes)), dtype=np.uint64)
@@ -89,15 +93,17 @@ def signatures(texts: DataFrame, bands: int = BANDS, per_band: int = ROWS) -> Da
                 lows[rows, k // lanes] |= (low & np.uint64((1 << BITS) - 1)) << np.uint64(BITS * (k % lanes))
         some = n > 0
         at = np.nonzero(some)[0].tolist()
+        exact = setjoin.columns(row, e, n, count, similarity)
         return {
             "id": [batch["id"][i] for i in at],
             "c1": signed(c1[some]),
             "c2": signed(c2[some]),
             "bits": features.lists(np.full(len(at), lows.shape[1]), pa.array(lows[some].view(np.int64).ravel())),
             "bands": features.lists(np.full(len(at), bands), pa.array(keys[some].view(np.int64).ravel())),
+            **{k: v.filter(pa.array(some)) for k, v in exact.items()},
         }
 
-    return map_rows(texts, sign, f"id {id_type}, c1 bigint, c2 bigint, bits array<bigint>, bands array<bigint>")
+    return map_rows(texts, sign, f"id {id_type}, c1 bigint, c2 bigint, bits array<bigint>, bands array<bigint>, {setjoin.SCHEMA}")
 
 
 def estimate(a: Column, b: Column, minima: int) -> Column:
@@ -121,10 +127,10 @@ def near_classes(rows: DataFrame, id_column: str, text_columns: list[str], simil
     is at least ``similarity``. No partner is left out for being one of many.
     """
     texts = records(rows, id_column, text_columns)
-    signed_rows = materialize(signatures(texts), "signatures")
+    signed_rows = materialize(signatures(texts, similarity=similarity), "signatures")
     reps = signed_rows.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
     members = signed_rows.select("id", "c1", "c2").join(reps, ["c1", "c2"]).select("id", "rep")
-    firsts = signed_rows.select("id", "bits", "bands").join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
+    firsts = signed_rows.select("id", "bands", "n", "p1", "p2", "lead").join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
     # most band keys stand alone: one sort finds the others, and only those are joined
     among = F.count("*").over(Window.partitionBy("key"))
     keyed = firsts.select("id", F.explode("bands").alias("key")).withColumn("n", among).where("n > 1").select("id", "key")
@@ -143,7 +149,8 @@ def near_classes(rows: DataFrame, id_column: str, text_columns: list[str], simil
         .where(estimate(F.col("bits_a"), F.col("bits_b"), BANDS * ROWS) >= LEAST_ESTIMATE)
         .select("a", "b")
     )
-    kept = materialize(kept, "candidates")
+    exact = setjoin.candidate_pairs(firsts.select("id", "n", "p1", "p2", "lead"), similarity)
+    kept = materialize(kept.unionByName(exact).distinct(), "candidates")
     ids = kept.select(F.explode(F.array("a", "b")).alias("id"))
     needed = likely_among(texts, "id", ids)
     both = kept.join(needed.toDF("a", "text_a"), "a").join(needed.toDF("b", "text_b"), "b")

@@ -77,6 +77,22 @@ def test_near_pairs_are_all_found(spark):
     assert got == want and len(want) > 40
 
 
+def test_near_pairs_that_differ_in_rare_words(spark, monkeypatch):
+    """90 of 92 common words stand in 40 % of the records, and 8 rare ones are exchanged: overlap 92/108, hardly a band in common."""
+    monkeypatch.setattr(neardup, "RARE_RECORDS", 1)
+    rng = random.Random(4)
+    everywhere = [f"c{i}" for i in range(225)]
+    rows, want = [], set()
+    for i in range(400):
+        common = rng.sample(everywhere, 90) + [f"r{i}a", f"r{i}b"]
+        rows.append((i, "p", " ".join(common + [f"x{i}n{k}" for k in range(8)]), "", "", ""))
+        if i < 30:
+            rows.append((1000 + i, "p", " ".join(common + [f"y{i}n{k}" for k in range(8)]), "", "", ""))
+            want.add((i, 1000 + i))
+    df = spark.createDataFrame(rows, PREF)
+    assert {(r.id_a, r.id_b) for r in neardup.near_pairs(df, "sample_id", ["prompt", "chosen"]).collect()} == want
+
+
 def test_near_pairs_edges(spark):
     t = "el taller de Somtejar empleó cantería en los encargos conocidos " * 30
     rows = [(1, "p", t, "", "", ""), (2, "P", t.upper(), "", "", ""), (3, None, t, "", "", ""), (4, "p", "  ", "", "", ""), (5, "?", "...", "", "", ""), (6, "?", "...", "", "", ""), (None, "p", t, "", "", ""), (7, "p", t + "fin", "", "", "")]
