@@ -56,18 +56,21 @@ def with_duplicates(df: DataFrame, order: list[str], reasons_column: str = "reas
 
 
 def near_pairs(df: DataFrame, id_column: str, ratio: float = 0.94, bucket: int = 25, bands: int = 32, rows: int = 4) -> DataFrame:
-    """(a, b, ratio): different texts of prompt and chosen that are alike by difflib's ratio, by their least ids.
-
-    Both must be of one length bucket of prompt and chosen tokens. Equal texts
-    are one class and aren't compared. Candidates share a MinHash band of
-    pairs of words, so that no bucket is compared all with all; texts as alike
-    as the default asks for are missed about once in a thousand.
+    """(a, b, ratio): texts of prompt and chosen that are alike by difflib's ratio.
+
+    Equal texts are one class, compared by its least id: each further copy b
+    is given once, beside that id as a, with a ratio of 1. Of different texts
+    both must be of one length bucket of prompt and chosen tokens. Candidates
+    share a MinHash band of pairs of words, so that no bucket is compared all
+    with all. That isn't complete for a ratio of characters: many small edits
+    leave few pairs of words, and texts of one word aren't compared.
     """
     text = F.concat_ws("\n", squeeze(F.col("prompt")), squeeze(F.col("chosen")))
     size = lambda c: F.floor(token_count(squeeze(F.col(c))) / bucket)
     flat = df.select(F.col(id_column).alias("id"), text.alias("t"), size("prompt").alias("p"), size("chosen").alias("c"))
-    firsts = flat.groupBy(F.sha2("t", 256).alias("h")).agg(F.min("id").alias("id")).select("id")
-    texts = materialize(flat.join(firsts, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    classes = materialize(flat.groupBy(F.sha2("t", 256).alias("h")).agg(F.min("id").alias("a")), "classes")
+    copies = flat.select(F.col("id").alias("b"), F.sha2("t", 256).alias("h")).join(classes, "h").where("a <> b").select("a", "b", F.lit(1.0).alias("ratio")).distinct()
+    texts = materialize(flat.join(classes.select(F.col("a").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "texts")
     keyed = signatures(texts, "t", "id", 2, bands, rows).join(texts.select("id", "p", "c"), "id").select("id", "p", "c", F.explode("keys").alias("key"))
     keyed = materialize(keyed, "bands")
     near = keyed.withColumnRenamed("id", "a").join(keyed.withColumnRenamed("id", "b"), ["key", "p", "c"]).where("a < b").select("a", "b").distinct()
@@ -81,7 +84,7 @@ def near_pairs(df: DataFrame, id_column: str, ratio: float = 0.94, bucket: int =
         return pd.Series([one(a, b) for a, b in zip(x, y)])
 
     pairs = near.join(texts.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
-    return pairs.select("a", "b", F.round(alike("x", "y"), 6).alias("ratio")).where(F.col("ratio") >= ratio)
+    return pairs.select("a", "b", F.round(alike("x", "y"), 6).alias("ratio")).where(F.col("ratio") >= ratio).unionByName(copies)
 
 
 def judge_pairs(a: DataFrame, b: DataFrame, key: str, order: list[str], response: str, seed: int = 42) -> DataFrame:

@@ -228,6 +228,14 @@ def test_preferences(spark):
     assert [(r.a, r.b) for r in near.collect()] == [(1, 2)]
 
 
+def test_near_pairs_give_every_copy(spark):
+    long = "palabra " * 20
+    data = [(1, "p", long), (2, "p", long), (3, "p ", long), (4, "p", long + "."), (5, "p", "nada"), (6, "p", "nada"), (7, "q", "otra cosa")]
+    near = preferences.near_pairs(spark.createDataFrame(data, "sample_id int, prompt string, chosen string"), "sample_id")
+    got = {(r.a, r.b): r.ratio for r in near.collect()}
+    assert set(got) == {(1, 2), (1, 3), (1, 4), (5, 6)} and got[1, 2] == got[1, 3] == got[5, 6] == 1 and got[1, 4] < 1
+
+
 def test_vectors(spark, monkeypatch):
     data = [(i, [float(i % 3), float(i % 5), 1.0]) for i in range(20)] + [(20, None), (21, [0.0, 0.0, 0.0])]
     everything = vectors.index(spark.createDataFrame(data, "vec_id bigint, embedding array<float>"))
