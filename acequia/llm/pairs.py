@@ -126,6 +126,7 @@ _ASK = re.compile(
     r"(?:\W+\w+){0,6}?\W+(?:al?|en|in|into|to|em|para o|auf|ins|au|vers l|vers le|del? espanol al)\W+(?:idioma |lengua |el |la |le |l )?(?:" + "|".join(f"(?P<{k}>(?:{v})\\b)" for k, v in ASKED.items()) + ")"
 )
 
+_QUOTED = re.compile(r"«[^»]*»|“[^”]*”|\"[^\"]*\"")
 _MARKUP = re.compile(r"<\|[^|>]*\|>|</?[a-zA-Z][^>]*>|&nbsp;|[\u200b\u200c\u200d\u2060\ufeff]")
 _LABEL = frozenset("pregunta preguntas question pregunto prompt consulta me te preguntaba preguntabas user usuario tu su la el instruccion enunciado planteas you asked the vous demandez repito repite repitiendo dices".split())
 _STOP = re.compile(r"[.!?…][\"»”’'\)\]\}*_`]*$")
@@ -206,12 +207,32 @@ def language(text: str | None, least: float = 2.0) -> str | None:
     return best if first >= least and first >= 1.25 * second else None
 
 
+def _asked(prompt: str) -> str | None:
+    """Language of the last request in a prompt; what a request's own clause brings in by a colon is material, up to the end of its paragraph or of the next."""
+    last, material = None, False
+    for part in filter(str.strip, prompt.splitlines()):
+        if material:
+            material = False
+            continue
+        for colon in re.finditer(":", part):
+            if _ASK.search(" ".join(words(re.split(r"[.!?…]\s", part[: colon.start()])[-1]))):
+                material = not part[colon.end() :].strip()
+                part = part[: colon.start()]
+                break
+        for m in _ASK.finditer(" ".join(words(part))):
+            last = m.lastgroup
+    return last
+
+
 def expected_language(prompt: str | None) -> str | None:
-    """Language that the prompt asks an answer in, or else is written in."""
+    """Language that the prompt asks an answer in, or else is written in.
+
+    The whole prompt is searched. Quoted material counts only if nothing
+    outside it asks, and of several requests the last.
+    """
     if not prompt:
         return None
-    m = _ASK.search(" ".join(words(prompt)[:40]))
-    return m.lastgroup if m else language(prompt, 0.8)
+    return _asked(_QUOTED.sub(" ", prompt)) or _asked(prompt) or language(prompt, 0.8)
 
 
 def is_truncated(response: str, ends: np.ndarray | None = None) -> bool:

@@ -49,6 +49,19 @@ def test_asked_language_counts():
     assert defect(prompt, "El taller de Somtejar empleó cantería en los encargos que se conocen de la villa.", Copies()) == "language"
 
 
+def test_language_asked_at_the_end_of_a_long_prompt():
+    passage = "El taller de Somtejar empleó cantería en los encargos que se conocen de la villa y de su comarca. " * 5
+    english = "The workshop of Somtejar used stonework in the orders that are known from the town."
+    spanish = "La Junta rectora aprobó las obras de la torre y las pagó con los fondos de los vecinos."
+    for prompt in (f"{passage}\n\nResponde en inglés.", f"{passage}Resume lo anterior en inglés", f"Texto: «Se pide que respondas en francés.» {passage}Responde en inglés."):
+        assert expected_language(prompt) == "en"
+        assert defect(prompt, english, Copies()) is None
+        assert defect(prompt, spanish, Copies()) == "language"
+    assert expected_language(f"Responde en inglés: {passage}Escribe en francés una carta.") == "en"
+    assert expected_language(f"Traduce al inglés:\n{passage}Escribe en francés una carta.") == "en"
+    assert expected_language(passage) == "es"
+
+
 def test_short_answer_is_whole():
     assert not is_truncated("El artículo 133 de la ordenanza reguladora")
 
