@@ -18,7 +18,7 @@ from acequia.llm.text import WORD, fold, map_rows
 #: Characters of passages that one automaton takes; more passages go through the corpus in further blocks.
 BLOCK_CHARS = 8_000_000
 _HYPHEN = re.compile(r"(?<=[^\W\d_])[-\u2010\u2011\u00ad][ \t]*(?:\r\n|\r|\n|\u2028)\s*(?=[^\W\d_])")
-_SPAN = re.compile(r"[^\W_](?:[^\W_]|[\u0300-\u036f\u00ad]|[-\u2010\u2011][ \t]*(?:\r\n|\r|\n|\u2028)\s*(?=[^\W\d_]))*")
+_SPAN = re.compile(r"[^\W_](?:[^\W_]|[\u0300-\u036f\u00ad]|(?<=[^\W\d_])[-\u2010\u2011][ \t]*(?:\r\n|\r|\n|\u2028)\s*(?=[^\W\d_]))*")
 
 
 def passage_words(text: str | None) -> list[str]:

@@ -70,3 +70,10 @@ def test_removed(spark):
     assert out[2].n_removed == 0 and out[3].clean_text is None
     assert out[1].clean_text is None and out[1].share > 0.8
     assert out[6].n_removed == 14 and "cuatro" not in out[6].clean_text
+
+
+def test_leak_is_cut_out_beside_a_digit_and_hyphen_at_a_line_end(spark):
+    text = "antes " * 30 + "COVID-19-\nrelacionado " + P + " después"
+    docs = spark.createDataFrame([(1, text, "", "", "")], DOC)
+    out = remove_leaks(docs, spark.createDataFrame([(1, P, "", "")], ITEM)).head()
+    assert out.n_removed == 14 and out.clean_text == text.replace(P, "") and out.share < 0.5
