@@ -65,5 +65,5 @@ def candidate_pairs(sets: DataFrame, similarity: float) -> DataFrame:
         & (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= F.lit(similarity / (1 + similarity)) * both - 1e-6)
         & (apart <= F.lit((1 - similarity) / (1 + similarity)) * both + 1e-6)
     )
-    pairs = a.withColumnRenamed("e", "e_a").join(b.withColumnRenamed("e", "e_b"), (F.col("e_a") == F.col("e_b")) & (F.col("id_a") < F.col("id_b")) & possible)
+    pairs = a.withColumnRenamed("e", "e_a").join(b.withColumnRenamed("e", "e_b").hint("merge"), (F.col("e_a") == F.col("e_b")) & (F.col("id_a") < F.col("id_b")) & possible)
     return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
