@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acequia.llm.text import map_rows, words
+from acequia.llm.text import fold, map_rows, words
 
 #: Buckets of the table of frequencies. Its size is the same for any corpus.
 BUCKET_BITS = 18
@@ -43,18 +44,106 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Code points that a table folds; texts with others, or with letters whose lower case depends on their neighbours, are folded as strings.
+_TABLE = 0x3000
+#: Characters hashed at once.
+_PART = 1 << 20
+_STEP = 0x9E3779B97F4A7C15 | 5
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: a random number that stands for its folded form; 0 for what is no part of a word, 1 a part, 2 a mark that counts for nothing, 3 not to be told by the table."""
+    kind, stands = np.zeros(_TABLE + 1, dtype=np.uint8), np.zeros(_TABLE + 1, dtype=np.uint64)
+    for c in range(_TABLE):
+        x = chr(c)
+        plain = fold(x)
+        if len(plain) == 1 and plain.isalnum():
+            kind[c], stands[c] = 1, ord(plain)
+        elif not plain and unicodedata.category(x) == "Mn":
+            kind[c] = 2
+        elif plain and any(y.isalnum() for y in plain):
+            kind[c] = 3
+    kind[0x3A3] = kind[_TABLE] = 3
+    return kind, mix(stands + np.uint64(0x2545F4914F6CDD1D))
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, text after text; words by text): as ``words`` finds them, but over many texts at once.
+
+    A word's hash is a polynomial of the numbers that stand for its folded
+    characters, taken from sums along the whole run of texts.
+    """
+    hashes: list[np.ndarray] = []
+    sizes = np.zeros(len(texts), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        last = size = 0
+        part: list[str] = []
+        while first + last < len(texts) and (not part or size < _PART):
+            part.append(texts[first + last] or "")
+            size += len(part[-1])
+            last += 1
+        h, n = _word_hashes(part)
+        hashes.append(h)
+        sizes[first : first + last] = n
+        first += last
+    return (np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)), sizes
+
+
+def _codes(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def _word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    kinds, stands = KINDS, STANDS
+    code = _codes(texts)
+    kind = kinds[np.minimum(code, _TABLE)]
+    folded = bool((kind == 3).any())
+    if folded:
+        odd = np.unique(np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), np.nonzero(kind == 3)[0], side="right"))
+        texts = list(texts)
+        for i in odd.tolist():
+            texts[i] = "".join(c if c.isalnum() else " " for c in fold(texts[i]))
+        code = _codes(texts)
+        kind = kinds[np.minimum(code, _TABLE)]
+        kind[kind == 3] = 1  # folded by now
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    if (kind == 2).any():
+        stay = kind != 2
+        ends = np.cumsum(stay)[np.minimum(ends, len(stay) - 1)] - (ends < len(stay))
+        code, kind = code[stay], kind[stay]
+    inside = np.zeros(len(code) + 2, dtype=np.int8)
+    inside[1:-1] = kind == 1
+    turn = np.diff(inside)
+    begin, end = np.nonzero(turn == 1)[0], np.nonzero(turn == -1)[0]
+    number = stands[np.minimum(code, _TABLE)]
+    if folded:  # what the table doesn't know stands for itself
+        same = kinds[np.minimum(code, _TABLE)] == 3
+        number[same] = mix(code[same].astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D))
+    power, inverse = _powers(len(code))
+    run = np.zeros(len(code) + 1, dtype=np.uint64)
+    np.cumsum(number * power[: len(code)], out=run[1:])
+    h = mix((run[end] - run[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+    return h, np.diff(np.searchsorted(begin, ends), prepend=0)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of _STEP and of its inverse, modulo 2**64."""
+    if len(_known[0]) < n:
+        for k, step in enumerate((_STEP, pow(_STEP, -1, 1 << 64))):
+            _known[k] = np.multiply.accumulate(np.concatenate([np.ones(1, dtype=np.uint64), np.full(max(n, _PART) - 1, step, dtype=np.uint64)]))
+    return _known[0], _known[1]
+
+
+_known = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+KINDS, STANDS = _tables()
+
+
 class Multisets:
     """Words of a list of texts: by text, each different word's hash and how often it occurs."""
 
     def __init__(self, texts: list[str | None]):
-        flat: list[int] = []
-        hashed = _hashes.__getitem__
-        sizes = np.zeros(len(texts), dtype=np.int64)
-        for i, text in enumerate(texts):
-            found = words(text)
-            sizes[i] = len(found)
-            flat += map(hashed, found)
-        h = np.array(flat, dtype=np.uint64)
+        h, sizes = word_hashes(texts)
         row = np.repeat(np.arange(len(texts)), sizes)
         # equal words of a row side by side: rows in the upper bits, most of the hash in the lower
         order = np.argsort((row.astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20)))

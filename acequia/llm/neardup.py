@@ -1,39 +1,37 @@
 """Problem 6: near-duplicate records with small edits.
 
-Each record is the multiset of its words. Minima are taken over elements in
-which rare words weigh more (an element's hash is stretched by how common it
-is), since all records of a domain share their common words: so two unrelated
-records hardly agree in a minimum, and records that share most of their text
-agree in most. Bands of minima give candidates; the low bits of all minima,
-packed, give a collision-corrected estimate by bit counts that discards the
-accidental ones. Since every word counts as one in the overlap that is asked
-for, pairs that differ in rare words may agree in no band: an exact join of
-the rarest elements (``setjoin``) adds them. All are compared exactly.
+b-bit MinHash. Each record is the multiset of its words; every word counts as
+one, as in the overlap that is asked for. Bands of minima give candidates, so
+a pair of overlap s is missed only if none of the bands agrees, with the
+probability ``(1 - s ** ROWS) ** BANDS`` whatever its words are. Of each
+minimum the low bit is kept; packed, the bits give a collision-corrected
+estimate of the overlap by bit counts. They travel with the band keys, so
+accidental meetings are discarded where they meet. What is left is compared
+exactly.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acequia.llm import features
-from acequia.llm.features import Multisets, by_row, common_words, frequencies, likely_among, mix, signed
+from acequia.llm.features import Multisets, by_row, common_words, likely_among, mix, signed
 from acequia.llm.text import map_rows, not_blank
-from acequia.operators import setjoin
+from acequia.operators.minhash import components
 from acequia.session import materialize
 
-#: Bands of minima, and minima by band. A pair of weighted similarity .7 is missed by the bands with a probability of 2e-6, one of .6 with .001.
-BANDS, ROWS = 48, 4
-#: Rows whose minima are taken at once.
-CHUNK = 256
-#: Low bits kept of each minimum.
-BITS = 2
-#: Share of records, or number of records if that is more, from which on an element weighs less.
-RARE, RARE_RECORDS = 0.004, 40
-#: Estimated weighted similarity below which a candidate of the bands is discarded; a pair lost here comes from the exact join.
-LEAST_ESTIMATE = 0.3
+#: Bands of minima, and minima by band. A pair of overlap .8 is missed with a probability of 6e-5, one of .85 with 3e-7. More rows
+#: with more bands (10 and 100: 1e-5) let fewer unrelated records meet, at more keys a record.
+BANDS, ROWS = 32, 6
+#: Standard deviations of the estimate below the asked overlap at which a candidate is discarded (a probability of 3e-5 at that overlap).
+DEVIATIONS = 4.0
+#: Rows whose minima are taken at once, and elements of one row at once.
+CHUNK, LONG = 512, 2048
+#: Members from which on a band key is cut into blocks, and records from which hot keys are told.
+HOT, TOLD = 8000, 20_000
 
 
 def records(rows: DataFrame, id_column: str, text_columns: list[str]) -> DataFrame:
@@ -44,81 +42,143 @@ def records(rows: DataFrame, id_column: str, text_columns: list[str]) -> DataFra
     return rows.where(there & F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.concat_ws("\n", *text_columns).alias("text"))
 
 
-def signatures(texts: DataFrame, bands: int = BANDS, per_band: int = ROWS, similarity: float = 0.8) -> DataFrame:
-    """(id, c1, c2, bits, bands, n, p1, p2, lead): class, packed low bits, band keys and columns of the exact join of each record that has a word.
+class Permutations:
+    """Hash functions of 32 bits whose minima are taken; a table of the different elements of some rows serves them all."""
+
+    def __init__(self, number: int):
+        rng = np.random.default_rng(20240101)
+        self.odd, self.turn = (rng.integers(0, 2**31, number, dtype=np.uint32) * np.uint32(2) + np.uint32(1) for _ in range(2))
+
+    def table(self, e: np.ndarray) -> np.ndarray:
+        h = (e >> np.uint64(32)).astype(np.uint32)[:, None] * self.odd
+        h ^= h >> np.uint32(15)
+        h *= self.turn
+        h ^= h >> np.uint32(16)
+        return h
+
+    def minima(self, e: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """By row, the minimum of each function over its n elements, rows lying one after another."""
+        out = np.full((len(n), len(self.odd)), 0xFFFFFFFF, dtype=np.uint32)
+        starts = np.cumsum(n) - n
+        by_size = np.argsort(-n, kind="stable")
+        by_size = by_size[: int((n > 0).sum())]
+        for i in by_size[: int((n > LONG).sum())].tolist():
+            for part in range(starts[i], starts[i] + n[i], LONG):
+                np.minimum(out[i], self.table(e[part : min(part + LONG, starts[i] + n[i])]).min(axis=0), out=out[i])
+        by_size = by_size[int((n > LONG).sum()) :]
+        for first in range(0, len(by_size), CHUNK):  # rows of like size, the longest first: the k-th element of all that have one at a time
+            rows = by_size[first : first + CHUNK]
+            size = n[rows]
+            inside = np.arange(size[0]) < size[:, None]
+            places = (starts[rows][:, None] + np.arange(size[0]))[inside]
+            kinds, at = np.unique(e[places], return_inverse=True)
+            table = self.table(kinds)
+            which = np.zeros(inside.shape, dtype=np.int64)
+            which[inside] = at
+            least = table[which[:, 0]]
+            for k, rows_left in enumerate(inside.sum(axis=0).tolist()):
+                if k:
+                    np.minimum(least[:rows_left], table[which[:rows_left, k]], out=least[:rows_left])
+            out[rows] = least
+        return out
+
+
+def signatures(texts: DataFrame, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
+    """(id, c1, c2, n, bits, keys): class, number of words, packed low bits and band keys of each record that has a word.
 
     Records of one class have the same words equally often (128-bit hash).
     """
-    count, _, total = frequencies(texts, ["text"], of_elements=True)
-    stretch = np.maximum(1.0, count / max(RARE * total, RARE_RECORDS))
-    shared = texts.sparkSession.sparkContext.broadcast((np.minimum(stretch, 1 << 20).astype(np.float32), count))
+    functions = Permutations(bands * per_band)
     id_type = texts.schema["id"].dataType.simpleString()
-    minima = bands * per_band
-    rng = np.random.default_rng(20240101)
-    odd = rng.integers(0, 2**31, minima, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    add = rng.integers(0, 2**31, minima, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    lanes = 64 // BITS
+    longs = -(-bands * per_band // 64)
 
     def sign(batch: dict[str, list]) -> dict[str, list]:
         sets = Multisets(batch["text"])
-        row, e = sets.elements()
+        _, e = sets.elements()
         n = sets.size
         c1, c2 = by_row(np.add, e, n), by_row(np.add, mix(e + np.uint64(0x51ED270B)), n)
-        stretched, count = shared.value
-        weight = stretched[features.bucket(e)]
-        short = (e >> np.uint64(32)).astype(np.uint32)
-        starts = np.cumsum(n) - n
-        lows = np.zeros((len(n), -(-minima // lanes)), dtype=np.uint64)
-        keys = np.zeros((len(n), bands), dtype=np.uint64)
-        by_size = np.argsort(n, kind="stable")
-        for first in range(0, len(n), CHUNK):  # rows of like size side by side, so few that they stay in the cache
-            rows = by_size[first : first + CHUNK]
-            width = max(1, int(n[rows].max()))
-            inside = np.arange(width) < n[rows][:, None]
-            x, w = np.zeros((len(rows), width), dtype=np.uint32), np.full((len(rows), width), np.inf, dtype=np.float32)
-            places = (starts[rows][:, None] + np.arange(width))[inside]
-            x[inside], w[inside] = short[places], weight[places]
-            h, turned, scaled = np.empty_like(x), np.empty_like(x), np.empty_like(w)
-            for k in range(minima):
-                np.multiply(x, odd[k], out=h)
-                np.right_shift(h, 15, out=turned)
-                np.bitwise_xor(h, turned, out=h)
-                np.multiply(h, add[k], out=h)
-                np.right_shift(h, 1, out=h)
-                np.copyto(scaled, h.view(np.int32), casting="unsafe")
-                np.add(scaled, np.float32(1), out=scaled)
-                np.multiply(scaled, w, out=scaled)
-                low = mix(scaled.min(axis=1).view(np.uint32).astype(np.uint64) + np.uint64(k))
-                keys[rows, k // per_band] = mix(keys[rows, k // per_band] ^ low) + np.uint64(k // per_band)
-                lows[rows, k // lanes] |= (low & np.uint64((1 << BITS) - 1)) << np.uint64(BITS * (k % lanes))
         some = n > 0
         at = np.nonzero(some)[0].tolist()
-        exact = setjoin.columns(row, e, n, count, similarity)
+        least = functions.minima(e, n)[some]
+        low = np.zeros((len(at), longs * 64), dtype=np.uint8)
+        low[:, : bands * per_band] = least & 1
+        bits = np.packbits(low, axis=1).view(np.int64).ravel()
+        keys = np.zeros((len(at), bands), dtype=np.uint64) + np.arange(bands, dtype=np.uint64)
+        for k in range(per_band):
+            keys = mix(keys ^ least[:, k::per_band].astype(np.uint64))
         return {
             "id": [batch["id"][i] for i in at],
             "c1": signed(c1[some]),
             "c2": signed(c2[some]),
-            "bits": features.lists(np.full(len(at), lows.shape[1]), pa.array(lows[some].view(np.int64).ravel())),
-            "bands": features.lists(np.full(len(at), bands), pa.array(keys[some].view(np.int64).ravel())),
-            **{k: v.filter(pa.array(some)) for k, v in exact.items()},
+            "n": n[some].tolist(),
+            "bits": features.lists(np.full(len(at), longs), pa.array(bits)),
+            "keys": features.lists(np.full(len(at), bands), pa.array(keys.view(np.int64).ravel())),
         }
 
-    return map_rows(texts, sign, f"id {id_type}, c1 bigint, c2 bigint, bits array<bigint>, bands array<bigint>, {setjoin.SCHEMA}")
+    return map_rows(texts, sign, f"id {id_type}, c1 bigint, c2 bigint, n int, bits array<bigint>, keys array<bigint>")
+
+
+def estimate(unequal: Column, minima: int) -> Column:
+    """Overlap from the number of unequal low bits: the share of equal ones, less that of bits equal by chance."""
+    return 1.0 - 2.0 * unequal / F.lit(float(minima))
+
 
+def least_estimate(similarity: float, minima: int) -> float:
+    """Estimate that a pair of the similarity falls below hardly ever: DEVIATIONS standard deviations under it."""
+    return similarity - 2 * DEVIATIONS * ((1 - similarity) * (1 + similarity) / 4 / minima) ** 0.5
 
-def estimate(a: Column, b: Column, minima: int) -> Column:
-    """Similarity from packed low bits: the share of equal lanes, less that of lanes equal by chance."""
-    lanes = 64 // BITS
-    mask = F.lit(0x5555555555555555)
-    unequal = F.lit(0)
-    for i in range(-(-minima // lanes)):
-        x = a[i].bitwiseXOR(b[i])
-        unequal = unequal + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(mask))
-    chance = 1.0 / (1 << BITS)
-    return (1.0 - unequal / F.lit(float(minima)) - chance) / (1.0 - chance)
 
+def _unequal(a: list[Column], b: list[Column]) -> Column:
+    out = F.lit(0)
+    for x, y in zip(a, b):
+        out = out + F.bit_count(x.bitwiseXOR(y))
+    return out
 
-def near_classes(rows: DataFrame, id_column: str, text_columns: list[str], similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+
+def hot_keys(signed_rows: DataFrame) -> DataFrame:
+    """(key, blocks): band keys of so many classes that these are compared in several tasks, and into how many blocks each is cut.
+
+    Told from TOLD records or so, taken by a hash of the id; the result of
+    the join doesn't depend on it. Its rows are bounded, for each stands for
+    16 of the records told from at least.
+    """
+    share = max(1, signed_rows.count() // TOLD)
+    told = signed_rows.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).dropDuplicates(["c1", "c2"])
+    keys = told.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    members = F.col("n") * share
+    return keys.where((F.col("n") >= 16) & (members > HOT)).select("key", F.ceil(members / HOT).cast("int").alias("blocks"))
+
+
+def candidate_pairs(firsts: DataFrame, hot: DataFrame, similarity: float, minima: int) -> DataFrame:
+    """(a, b), a < b, of records (id, n, bits, keys): those that meet in a band and whose sizes and low bits allow the similarity.
+
+    A hot key's members are dealt to blocks by id, and each two blocks are
+    joined in a task of their own.
+    """
+    lead = range(-(-minima // 64))
+    keyed = firsts.select("id", "n", *[F.col("bits")[i].alias(f"s{i}") for i in lead], F.explode("keys").alias("key"))
+    if hot.limit(1).count():
+        mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        cells = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least(o, mine) * F.col("blocks") + F.greatest(o, mine)))
+        # the block a row is of, so that a pair of one block isn't met again in the cells both go to
+        dealt = keyed.join(hot, "key", "left").withColumn("mine", F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(mine))
+        keyed = dealt.withColumn("cell", F.explode(cells)).select("id", "n", *[f"s{i}" for i in lead], "key", "cell", "mine", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+        on = ["key", "cell"]
+        once = F.least("mine_a", "mine_b") * F.col("blocks_a") + F.greatest("mine_a", "mine_b") == F.col("cell")
+    else:
+        on, once = ["key"], F.lit(True)
+    a, b = (keyed.select(*on, *[F.col(c).alias(f"{c}_{side}") for c in keyed.columns if c not in on]) for side in "ab")
+    apart = _unequal([F.col(f"s{i}_a") for i in lead], [F.col(f"s{i}_b") for i in lead])
+    near = (
+        (F.col("id_a") < F.col("id_b"))
+        & (F.least("n_a", "n_b") >= F.lit(similarity) * F.greatest("n_a", "n_b") - 1e-6)
+        & (estimate(apart, minima) >= least_estimate(similarity, minima))
+    )
+    # merged, for a hash table of one side would walk all members of a key for each row
+    return a.join(b.hint("merge"), on).where(once & near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def near_classes(rows: DataFrame, id_column: str, text_columns: list[str], similarity: float = 0.8, bands: int = BANDS, per_band: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(links, members) of the records.
 
     members: (id, rep), each record with the least id of its class, a class
@@ -126,31 +186,14 @@ def near_classes(rows: DataFrame, id_column: str, text_columns: list[str], simil
     overlap), a < b, each two classes, by their least ids, whose word overlap
     is at least ``similarity``. No partner is left out for being one of many.
     """
+    minima = bands * per_band
     texts = records(rows, id_column, text_columns)
-    signed_rows = materialize(signatures(texts, similarity=similarity), "signatures")
+    signed_rows = materialize(signatures(texts, bands, per_band), "signatures")
     reps = signed_rows.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
     members = signed_rows.select("id", "c1", "c2").join(reps, ["c1", "c2"]).select("id", "rep")
-    firsts = signed_rows.select("id", "bands", "n", "p1", "p2", "lead").join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
-    # most band keys stand alone: one sort finds the others, and only those are joined
-    among = F.count("*").over(Window.partitionBy("key"))
-    keyed = firsts.select("id", F.explode("bands").alias("key")).withColumn("n", among).where("n > 1").select("id", "key")
-    keyed = materialize(keyed, "shared-bands")
-    pairs = (
-        keyed.select(F.col("id").alias("a"), "key")
-        .join(keyed.select(F.col("id").alias("b"), "key"), "key")
-        .where("a < b")
-        .select("a", "b")
-        .distinct()
-    )
-    bits = signed_rows.select("id", "bits")
-    kept = (
-        pairs.join(bits.toDF("a", "bits_a"), "a")
-        .join(bits.toDF("b", "bits_b"), "b")
-        .where(estimate(F.col("bits_a"), F.col("bits_b"), BANDS * ROWS) >= LEAST_ESTIMATE)
-        .select("a", "b")
-    )
-    exact = setjoin.candidate_pairs(firsts.select("id", "n", "p1", "p2", "lead"), similarity)
-    kept = materialize(kept.unionByName(exact).distinct(), "candidates")
+    firsts = signed_rows.select("id", "n", "bits", "keys").join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
+    hot = materialize(hot_keys(signed_rows), "hot-keys")
+    kept = materialize(candidate_pairs(firsts, hot, similarity, minima), "candidates")
     ids = kept.select(F.explode(F.array("a", "b")).alias("id"))
     needed = likely_among(texts, "id", ids)
     both = kept.join(needed.toDF("a", "text_a"), "a").join(needed.toDF("b", "text_b"), "b")
@@ -166,7 +209,7 @@ def near_classes(rows: DataFrame, id_column: str, text_columns: list[str], simil
         return out
 
     id_type = texts.schema["id"].dataType.simpleString()
-    return map_rows(both, compare, f"a {id_type}, b {id_type}, overlap double"), members
+    return map_rows(both, compare, f"a {id_type}, b {id_type}, overlap double").distinct(), members.distinct()
 
 
 def near_pairs(rows: DataFrame, id_column: str, text_columns: list[str], similarity: float = 0.8) -> DataFrame:
@@ -178,7 +221,7 @@ def near_pairs(rows: DataFrame, id_column: str, text_columns: list[str], similar
     table gives an empty result.
     """
     links, members = near_classes(rows, id_column, text_columns, similarity)
-    members = materialize(members.distinct(), "members")
+    members = materialize(members, "members")
     x, y = members.toDF("x", "a"), members.toDF("y", "b")
     across = links.join(x, "a").join(y, "b").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
     within = x.join(members.toDF("y", "a"), "a").where("x < y").select(F.col("x").alias("id_a"), F.col("y").alias("id_b"))
@@ -188,28 +231,10 @@ def near_pairs(rows: DataFrame, id_column: str, text_columns: list[str], similar
 def near_groups(rows: DataFrame, id_column: str, text_columns: list[str], similarity: float = 0.8) -> DataFrame:
     """(id, rep, group_id, n_links): each record with its class, its group and the number of classes its own is linked to.
 
-    Groups are connected components; group_id is the least id in each. The
-    least id spreads along the links, and along those to what it has reached,
-    so long chains take few rounds.
+    Groups are connected components; group_id is the least id in each.
     """
     links, members = near_classes(rows, id_column, text_columns, similarity)
     links = materialize(links.select("a", "b"), "links")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.groupBy("a").agg(F.count("*").alias("n_links"))
-    label = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
-    while True:
-        near = both.join(label.toDF("b", "other"), "b").groupBy("a").agg(F.min("other").alias("other"))
-        jump = label.toDF("label", "beyond")
-        new = (
-            label.join(near, "a")
-            .select("a", F.col("label").alias("old"), F.least("label", "other").alias("label"))
-            .join(jump, "label", "left")
-            .select("a", "old", F.least("label", F.coalesce("beyond", "label")).alias("label"))
-        )
-        new = materialize(new, "labels")
-        changed = new.where("label <> old").limit(1).count()
-        label = new.select("a", "label")
-        if not changed:
-            break
-    placed = members.distinct().join(label.withColumnRenamed("a", "rep"), "rep", "left").join(degree.withColumnRenamed("a", "rep"), "rep", "left")
-    return placed.select("id", "rep", F.coalesce("label", "rep").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    placed = members.join(components(links).withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left")
+    return placed.select("id", "rep", F.coalesce("group_id", "rep").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

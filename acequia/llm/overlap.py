@@ -117,7 +117,8 @@ def cross_split_pairs(
     reach = F.col("w_a") * F.col("w_b") + F.col("rest_a") * F.col("rest_b")
     need = (1 - near) / 2 * both / F.sqrt(F.col("n_a").cast("double") * F.col("n_b"))
     condition = (F.col("word_a") == F.col("word_b")) & alike("n") & alike("m") & apart("bits", "n") & apart("bits2", "m") & (reach >= need - 1e-4)
-    candidates = a.withColumnRenamed("word", "word_a").join(b.withColumnRenamed("word", "word_b"), condition).select("id_a", "id_b").distinct()
+    # merged, for a hash table of one side would walk a word's whole list for each row
+    candidates = a.withColumnRenamed("word", "word_a").join(b.withColumnRenamed("word", "word_b").hint("merge"), condition).select("id_a", "id_b").distinct()
     candidates = materialize(candidates, "candidates")
     ids = candidates.select(F.explode(F.array("id_a", "id_b")).alias("id"))
     needed = likely_among(texts.drop("part"), "id", ids)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from acequia.llm import neardup, overlap
+from acequia.llm import overlap
 from acequia.llm.text import words
 
 
@@ -62,52 +62,3 @@ def test_cross_split_edges(spark):
     report = {(r.split, r.source): (r.n_records, r.n_overlapping) for r in overlap.overlap_report(df, pairs).collect()}
     assert report == {("test", "a"): (3, 1), ("validation", "a"): (1, 0)}
     assert overlap.cross_split_pairs(df.limit(0)).count() == 0
-
-
-PREF = "sample_id bigint, prompt string, chosen string, id string, text string, a string"
-
-
-def test_near_pairs_are_all_found(spark):
-    texts = corpus(300, 2)
-    rows = [(i, t.split(" ", 2)[0], t.split(" ", 1)[1], "x", "x", "x") for i, t in enumerate(texts)]
-    joined = [f"{r[1]}\n{r[2]}" for r in rows]
-    want = {(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if share(joined[i], joined[j]) >= 0.8}
-    df = spark.createDataFrame(rows + rows[:10], PREF)
-    got = {(r.id_a, r.id_b) for r in neardup.near_pairs(df, "sample_id", ["prompt", "chosen"]).collect()}
-    assert got == want and len(want) > 40
-
-
-def test_near_pairs_that_differ_in_rare_words(spark, monkeypatch):
-    """90 of 92 common words stand in 40 % of the records, and 8 rare ones are exchanged: overlap 92/108, hardly a band in common."""
-    monkeypatch.setattr(neardup, "RARE_RECORDS", 1)
-    rng = random.Random(4)
-    everywhere = [f"c{i}" for i in range(225)]
-    rows, want = [], set()
-    for i in range(400):
-        common = rng.sample(everywhere, 90) + [f"r{i}a", f"r{i}b"]
-        rows.append((i, "p", " ".join(common + [f"x{i}n{k}" for k in range(8)]), "", "", ""))
-        if i < 30:
-            rows.append((1000 + i, "p", " ".join(common + [f"y{i}n{k}" for k in range(8)]), "", "", ""))
-            want.add((i, 1000 + i))
-    df = spark.createDataFrame(rows, PREF)
-    assert {(r.id_a, r.id_b) for r in neardup.near_pairs(df, "sample_id", ["prompt", "chosen"]).collect()} == want
-
-
-def test_near_pairs_edges(spark):
-    t = "el taller de Somtejar empleó cantería en los encargos conocidos " * 30
-    rows = [(1, "p", t, "", "", ""), (2, "P", t.upper(), "", "", ""), (3, None, t, "", "", ""), (4, "p", "  ", "", "", ""), (5, "?", "...", "", "", ""), (6, "?", "...", "", "", ""), (None, "p", t, "", "", ""), (7, "p", t + "fin", "", "", "")]
-    df = spark.createDataFrame(rows, PREF)
-    assert {(r.id_a, r.id_b) for r in neardup.near_pairs(df, "sample_id", ["prompt", "chosen"]).collect()} == {(1, 2), (1, 7), (2, 7)}
-    groups = {r.id: (r.rep, r.group_id, r.n_links) for r in neardup.near_groups(df, "sample_id", ["prompt", "chosen"]).collect()}
-    assert groups == {1: (1, 1, 1), 2: (1, 1, 1), 7: (7, 1, 1)}
-    assert neardup.near_pairs(df.limit(0), "sample_id", ["prompt", "chosen"]).count() == 0
-    assert neardup.near_groups(df.limit(0), "sample_id", ["prompt", "chosen"]).count() == 0
-
-
-def test_estimate_is_corrected_for_chance(spark):
-    from pyspark.sql import functions as F
-
-    same = [0x0123456789ABCDEF] * 6
-    df = spark.createDataFrame([(same, same), (same, [~x & 0x7FFFFFFFFFFFFFFF for x in same])], "a array<bigint>, b array<bigint>")
-    got = [r[0] for r in df.select(neardup.estimate(F.col("a"), F.col("b"), 192)).collect()]
-    assert got[0] == 1.0 and got[1] < 0
