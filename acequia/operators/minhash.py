@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acequia.operators import setjoin
-from acequia.session import materialize
+from acequia.session import discard, materialize
 
 #: Words whose shingles are worked out at once.
 WORDS = 500_000
@@ -63,7 +63,7 @@ def components(links: DataFrame) -> DataFrame:
     that label's own label, so chains shorten by half or better.
     """
     both = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
-    label = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), "labels")
+    label = written = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), "labels")
     while True:
         near = both.join(label.toDF("b", "other"), "b").groupBy("a").agg(F.min("other").alias("other"))
         step = label.join(near, "a").select("a", F.col("label").alias("old"), F.least("label", "other").alias("label"))
@@ -71,7 +71,9 @@ def components(links: DataFrame) -> DataFrame:
         new = materialize(step.join(jump, "label", "left").select("a", "old", F.least("label", F.coalesce("beyond", "label")).alias("label")), "labels")
         if not new.where("label <> old").limit(1).count():
             return new.select(F.col("a").alias("id"), F.col("label").alias("group_id"))
-        label = new.select("a", "label")
+        label, before = new.select("a", "label"), written
+        written = new
+        discard(before)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

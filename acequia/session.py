@@ -14,11 +14,16 @@ _written: list[str] = []
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder shared by all executors, from ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a temporary folder is made
-    and put into the session's settings.
+    Only where that is unset and all runs in one machine, as in local tests,
+    a temporary folder is made and put into the session's settings. On a
+    cluster each executor would write to a disk of its own, so there an unset
+    folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir isn't set: it must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="acequia-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -38,7 +43,20 @@ def materialize(df: DataFrame, label: str = "stage", partition_by: list[str] | N
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._acequia_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote and nothing reads any more; others are left alone."""
+    for df in tables:
+        path = getattr(df, "_acequia_path", None)
+        if path in _written:
+            _written.remove(path)
+            sc = df.sparkSession.sparkContext
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
