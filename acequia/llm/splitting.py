@@ -78,29 +78,27 @@ def _cosine(a: Counter, b: Counter) -> float:
     return dot / math.sqrt(sum(n * n for n in a.values()) * sum(n * n for n in b.values()))
 
 
-def depths(tokens: list[str], at: list[int], block: int) -> list[float]:
-    """Depth of the similarity valley at each boundary, from blocks of tokens on its two sides."""
+def similarities(tokens: list[str], at: list[int], block: int) -> list[float]:
+    """Similarity of the blocks of tokens on the two sides of each boundary."""
     words = [t.lower() if len(t) > 3 else "" for t in tokens]
     near = []
     for k in at:
-        left = Counter(words[max(0, k - block) : k])
-        right = Counter(words[k : k + block])
-        left.pop("", None)
-        right.pop("", None)
-        near.append(_cosine(left, right))
-    out = []
-    for i, s in enumerate(near):
-        peak_left = peak_right = s
-        j = i - 1
-        while j >= 0 and near[j] >= peak_left:
-            peak_left = near[j]
-            j -= 1
-        j = i + 1
-        while j < len(near) and near[j] >= peak_right:
-            peak_right = near[j]
-            j += 1
-        out.append(peak_left + peak_right - 2 * s)
-    return out
+        before, after = ([w for w in part if w] for part in (words[max(0, k - block) : k], words[k : k + block]))
+        near.append(_cosine(Counter(before), Counter(after)) if before and after else 0.0)
+    return near
+
+
+def depths(tokens: list[str], at: list[int], block: int) -> list[float]:
+    """Depth of the similarity valley at each boundary."""
+    near = similarities(tokens, at, block)
+    left, right = near[:], near[:]
+    for i in range(1, len(near)):  # the peak on a side: as far as the similarity doesn't fall
+        if near[i - 1] >= near[i]:
+            left[i] = left[i - 1]
+    for i in range(len(near) - 2, -1, -1):
+        if near[i + 1] >= near[i]:
+            right[i] = right[i + 1]
+    return [a + b - 2 * s for a, b, s in zip(left, right, near)]
 
 
 def cut(text: str, max_tokens: int, overlap: int, block: int = 64) -> list[tuple[int, int, int, int, bool]]:

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
-from acequia.llm.splitting import boundaries, cut, cut_kinds, split_oversized
+import random
+import time
+
+from acequia.llm.splitting import boundaries, cut, cut_kinds, depths, similarities, split_oversized
 from acequia.llm.text import TOKEN
 
 
@@ -57,3 +60,24 @@ def test_table(spark):
     assert {tuple(r) for r in cut_kinds(pieces).collect()} == {("1", "natural"), ("2", "forced"), (None, "natural")}
     assert all(r.n_tokens <= 512 for r in pieces.collect())
     assert split_oversized(df.limit(0)).count() == 0
+
+
+def test_plateaus_take_no_longer_than_other_texts():
+    began = time.process_time()
+    pieces = cut("1 2\n" * 200_000, 512, 64)
+    assert time.process_time() - began < 10
+    assert len(pieces) > 800 and all(p[4] for p in pieces)
+
+
+def test_depth_is_from_the_nearest_peaks():
+    rng = random.Random(2)
+    tokens = [rng.choice(["uno dos", "alfa", "beta", "gamma", "delta", "a"]) for _ in range(400)]
+    at = list(range(0, 401, 3))
+    near = [x for x in similarities(tokens, at, 16)]
+    for i, d in enumerate(depths(tokens, at, 16)):
+        a = b = i
+        while a and near[a - 1] >= near[a]:
+            a -= 1
+        while b < len(near) - 1 and near[b + 1] >= near[b]:
+            b += 1
+        assert d == near[a] + near[b] - 2 * near[i]
