@@ -1,7 +1,7 @@
 """Problem 8: mixing sources to target weights.
 
 The documents of each source are shuffled by a hash and laid end to end in
-blocks of equal tokens. Slots of the mixed stream are golden-ratio points
+blocks of equal tokens, up to the source's target. Slots of the mixed stream are golden-ratio points
 mapped through the cumulative weights of the sources, so every stretch of the
 stream holds the sources in proportion; the r-th slot of a source takes its
 block r, over and over as its passes allow.
@@ -41,7 +41,7 @@ def listed_documents(
 
 
 def mix_plan(sized: DataFrame, targets: DataFrame, block_tokens: int) -> DataFrame:
-    """One row by listed source: size, target, passes, blocks and slots.
+    """One row by listed source: size, target, passes, blocks, slots, and tokens of the last pass (rest).
 
     Repeated rows of a source in ``targets`` add their shares and allow the
     most passes among them; a null share counts as 0 and null passes as 1.
@@ -65,8 +65,8 @@ def mix_plan(sized: DataFrame, targets: DataFrame, block_tokens: int) -> DataFra
         .withColumn("passes", passes.cast("bigint"))
         .withColumn("falls_short", (F.col("max_passes") * F.col("size") < target).cast("bigint"))
         .withColumn("blocks", blocks.cast("bigint"))
-        .withColumn("slots", F.when(F.col("passes") > 0, before * F.col("blocks") + F.ceil((reached - before * F.col("size")) / F.lit(block_tokens))).otherwise(F.lit(0)).cast("bigint"))
-        .withColumn("slots", F.least("slots", F.col("passes") * F.col("blocks")))
+        .withColumn("rest", F.when(F.col("passes") > 0, reached - before * F.col("size")).otherwise(F.lit(0.0)))
+        .withColumn("slots", F.least(F.col("passes") * F.col("blocks"), before * F.col("blocks") + F.ceil(F.col("rest") / F.lit(block_tokens))).cast("bigint"))
     )
 
 
@@ -140,11 +140,16 @@ def schedule(plan: DataFrame, *, chunk: int = 1 << 16) -> DataFrame:
 
 
 def shuffled_blocks(sized: DataFrame, plan: DataFrame, block_tokens: int, seed: int, bucket_docs: int = 20_000) -> DataFrame:
-    """(source, block, start, doc_id, tokens): the documents of each source shuffled by hash, with the block each begins in."""
+    """(source, block, start, doc_id, tokens): the documents of each source shuffled by hash, with the block each begins in.
+
+    Their order is that of the first 60 bits of a digest of seed and doc_id;
+    buckets are ranges of it.
+    """
     sized = sized.where("tokens > 0").join(plan.select("source", F.ceil(F.col("n_docs") / bucket_docs).alias("buckets")), "source")
-    hashed = sized.withColumn("h", F.xxhash64(F.lit(seed), "doc_id")).withColumn("bucket", F.pmod(F.shiftright("h", 8), "buckets"))
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), "doc_id")), 1, 15), 16, 10).cast("bigint")
+    hashed = sized.withColumn("h", h).withColumn("bucket", F.shiftright(F.shiftright("h", 28) * F.col("buckets"), 32))
     sums = hashed.groupBy("source", "bucket").agg(F.sum("tokens").alias("t"))
-    ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row by bucket
     offsets = sums.select("source", "bucket", F.coalesce(F.sum("t").over(ahead), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     return (
@@ -155,25 +160,35 @@ def shuffled_blocks(sized: DataFrame, plan: DataFrame, block_tokens: int, seed:
     )
 
 
-def mix_report(documents: DataFrame, targets: DataFrame, *, block_tokens: int = 2048, **columns: str) -> DataFrame:
+def _planned(documents: DataFrame, targets: DataFrame, block_tokens: int, columns: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    sized = materialize(listed_documents(documents, targets, **columns), "mix-sizes")
+    return sized, materialize(mix_plan(sized, targets, block_tokens), "mix-plan")
+
+
+def _mixed(sized: DataFrame, plan: DataFrame, block_tokens: int, seed: int) -> DataFrame:
+    figures = plan.select("source", "blocks", (F.col("passes") - 1).alias("last"), "rest")
+    slots = (
+        schedule(plan)
+        .join(figures, "source")
+        .select("position", "source", F.floor(F.col("rank") / F.col("blocks")).alias("pass"), (F.col("rank") % F.col("blocks")).alias("block"), "last", "rest")
+    )
+    mixed = slots.join(shuffled_blocks(sized, plan, block_tokens, seed), ["source", "block"])
+    # the last pass ends with the document that reaches the target
+    return mixed.where((F.col("pass") < F.col("last")) | (F.col("start") < F.col("rest"))).select("position", "source", "pass", "start", "doc_id", "tokens")
+
+
+def mix_report(documents: DataFrame, targets: DataFrame, *, block_tokens: int = 2048, seed: int = 7, **columns: str) -> DataFrame:
     """(source, size, target_tokens, passes, falls_short, mixed_tokens, mixed_share) for each listed source.
 
-    ``passes`` and ``mixed_tokens`` come from the schedule. Sources without a
-    token get 0 passes; null and empty texts have no tokens; repeated rows of
-    a document count once; with no documents all figures are 0.
+    ``passes``, ``mixed_tokens`` and the shares are summed up from the mixed
+    stream itself: a source has at least the least of its target and of all
+    its passes, and less than one document more. Sources without a token get
+    0 passes; null and empty texts have no tokens; repeated rows of a
+    document count once; with no documents all figures are 0.
     """
-    sized = materialize(listed_documents(documents, targets, **columns), "mix-sizes")
-    plan = materialize(mix_plan(sized, targets, block_tokens), "mix-plan")
-    slots = schedule(plan).join(plan.select("source", "blocks"), "source")
-    last = F.col("rank") % F.col("blocks") == F.col("blocks") - 1
-    used = slots.groupBy("source").agg(
-        (F.max(F.floor(F.col("rank") / F.col("blocks"))) + 1).cast("bigint").alias("passes"),
-        F.count("*").alias("n"),
-        F.sum(last.cast("bigint")).alias("ends"),
-    )
-    short = F.col("blocks") * block_tokens - F.col("size")
-    report = plan.select("source", "size", "target_tokens", "falls_short", "blocks").join(used, "source", "left").fillna(0, ["passes", "n", "ends"])
-    report = report.withColumn("mixed_tokens", F.col("n") * block_tokens - F.col("ends") * short)
+    sized, plan = _planned(documents, targets, block_tokens, columns)
+    used = _mixed(sized, plan, block_tokens, seed).groupBy("source").agg((F.max("pass") + 1).cast("bigint").alias("passes"), F.sum("tokens").alias("mixed_tokens"))
+    report = plan.select("source", "size", "target_tokens", "falls_short").join(used, "source", "left").fillna(0, ["passes", "mixed_tokens"])
     whole = F.sum("mixed_tokens").over(Window.partitionBy(F.lit(1)))  # one row by source
     return report.select(
         "source", "size", "target_tokens", "passes", "falls_short", "mixed_tokens",
@@ -184,16 +199,9 @@ def mix_report(documents: DataFrame, targets: DataFrame, *, block_tokens: int =
 def mix(documents: DataFrame, targets: DataFrame, *, block_tokens: int = 2048, seed: int = 7, **columns: str) -> DataFrame:
     """(position, source, pass, start, doc_id, tokens): the mixed stream, to be ordered by position and start.
 
-    A document goes with the block in which it begins. See mix_report for
-    nulls, repeated rows and empty tables.
+    A document goes with the block in which it begins, whole; the last pass
+    of a source ends with the document that reaches its target. See
+    mix_report for nulls, repeated rows and empty tables.
     """
-    sized = materialize(listed_documents(documents, targets, **columns), "mix-sizes")
-    plan = materialize(mix_plan(sized, targets, block_tokens), "mix-plan")
-    slots = (
-        schedule(plan)
-        .join(plan.select("source", "blocks"), "source")
-        .select("position", "source", F.floor(F.col("rank") / F.col("blocks")).alias("pass"), (F.col("rank") % F.col("blocks")).alias("block"))
-    )
-    return slots.join(shuffled_blocks(sized, plan, block_tokens, seed), ["source", "block"]).select(
-        "position", "source", "pass", "start", "doc_id", "tokens"
-    )
+    sized, plan = _planned(documents, targets, block_tokens, columns)
+    return _mixed(sized, plan, block_tokens, seed)
