@@ -15,10 +15,21 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acequia.session import materialize
+from acequia.operators.ordering import position
+from acequia.session import discard, materialize
 
-#: Edges (pairs of items that met) up to which one solver holds the graph; beyond, every product is a Spark job.
+#: Edges (pairs of items that met) up to which the vectors are arrays in one place; beyond, they are tables and every product is a Spark job.
 EDGES_IN_MEMORY = 2_000_000
+#: Pull on every strength towards 0. Residual of a linear system, to its right side, and change of a strength, at which the
+#: iterations end; and how many there may be. The same in both ways; one that doesn't get there raises an error.
+RIDGE, RESIDUAL, CHANGE = 1e-3, 1e-9, 1e-8
+INNER, ROUNDS = 10_000, 100
+#: Digits of a strength that tell places apart; what the iterations leave open lies beyond.
+DIGITS = 6
+
+
+class NotConverged(RuntimeError):
+    """The iterations came to their end before the strengths stood still."""
 
 
 def comparisons(rows: DataFrame, winner: Column, loser: Column) -> DataFrame:
@@ -36,15 +47,17 @@ def comparisons(rows: DataFrame, winner: Column, loser: Column) -> DataFrame:
     )
 
 
-def conjugate_gradient(product, rhs: np.ndarray, x: np.ndarray, tolerance: float = 1e-10, most: int = 10_000) -> np.ndarray:
-    """Solution of a positive definite system given by its product with a vector."""
+def conjugate_gradient(product, rhs: np.ndarray, x: np.ndarray, tolerance: float = RESIDUAL, most: int = INNER) -> np.ndarray:
+    """Solution of a positive definite system given by its product with a vector; NotConverged without one after ``most`` steps."""
     r = rhs - product(x)
     p = r.copy()
     rr = float(r @ r)
     goal = tolerance * tolerance * max(float(rhs @ rhs), 1e-30)
-    for _ in range(most):
+    for k in range(most + 1):
         if rr <= goal:
             break
+        if k == most:
+            raise NotConverged(f"residual {rr**0.5} after {most} steps")
         q = product(p)
         step = rr / float(p @ q)
         x = x + step * p
@@ -62,7 +75,7 @@ def _working(wa, wb, margin, lib):
     return weight, weight * margin + wa - n * p
 
 
-def solve(a: np.ndarray, b: np.ndarray, wins_a: np.ndarray, wins_b: np.ndarray, n: int, ridge: float = 1e-3, rounds: int = 60) -> np.ndarray:
+def solve(a: np.ndarray, b: np.ndarray, wins_a: np.ndarray, wins_b: np.ndarray, n: int, ridge: float = RIDGE, rounds: int = ROUNDS) -> np.ndarray:
     """Strengths of n items, mean 0.
 
     ``ridge`` keeps items that won or lost every comparison, and parts of the
@@ -82,9 +95,9 @@ def solve(a: np.ndarray, b: np.ndarray, wins_a: np.ndarray, wins_b: np.ndarray,
         step = new - x
         big = float(np.abs(step).max(initial=0.0))
         x = x + step * min(1.0, 3.0 / max(big, 1e-12))
-        if big < 1e-9:
-            break
-    return x - x.mean() if n else x
+        if big < CHANGE:
+            return x - x.mean() if n else x
+    raise NotConverged(f"a strength still moves by {big} after {rounds} rounds")
 
 
 def _spread(edges: DataFrame, v: DataFrame) -> DataFrame:
@@ -99,10 +112,11 @@ def _ends(edges: DataFrame, flow: str) -> DataFrame:
     return edges.select(both.alias("e")).groupBy("e.item").agg(F.sum("e.f").alias("f"))
 
 
-def solve_distributed(edges: DataFrame, ridge: float = 1e-3, rounds: int = 12, inner: int = 200, tolerance: float = 1e-7) -> DataFrame:
+def solve_distributed(edges: DataFrame, ridge: float = RIDGE, rounds: int = ROUNDS, inner: int = INNER, tolerance: float = RESIDUAL) -> DataFrame:
     """(item, strength): as ``solve``, with every vector a table and every product a join and an aggregate.
 
-    Vectors are written to the checkpoint folder at each step, which cuts the lineage.
+    Vectors are written to the checkpoint folder at each step, which cuts the
+    lineage; those of the step before are deleted.
     """
     items = edges.select(F.explode(F.array("a", "b")).alias("item")).distinct()
     x = materialize(items.withColumn("x", F.lit(0.0)), "cg-x")
@@ -119,32 +133,37 @@ def solve_distributed(edges: DataFrame, ridge: float = 1e-3, rounds: int = 12, i
         start = x.join(rhs, "item").join(product(x), "item").select("item", "x", (F.col("f") - F.col("q")).alias("r"))
         state = materialize(start.withColumn("p", F.col("r")), "cg-state")
         rr = state.agg(F.sum(F.col("r") * F.col("r"))).first()[0] or 0.0
-        goal = tolerance * tolerance * max(rr, 1e-30)
-        for _ in range(inner):
+        goal = tolerance * tolerance * max(rhs.agg(F.sum(F.col("f") * F.col("f"))).first()[0] or 0.0, 1e-30)
+        for k in range(inner + 1):
             if rr <= goal:
                 break
+            if k == inner:
+                raise NotConverged(f"residual {rr**0.5} after {inner} steps")
             step = materialize(state.join(product(state.select("item", "p")), "item"), "cg-product")
             alpha = rr / step.agg(F.sum(F.col("p") * F.col("q"))).first()[0]
             moved = step.select("item", (F.col("x") + alpha * F.col("p")).alias("x"), (F.col("r") - alpha * F.col("q")).alias("r"), "p")
             new = moved.agg(F.sum(F.col("r") * F.col("r"))).first()[0]
-            state = materialize(moved.select("item", "x", "r", (F.col("r") + (new / rr) * F.col("p")).alias("p")), "cg-state")
+            before, state = state, materialize(moved.select("item", "x", "r", (F.col("r") + (new / rr) * F.col("p")).alias("p")), "cg-state")
+            discard(before, step)
             rr = new
         both = x.join(state.select("item", F.col("x").alias("new")), "item")
         big = both.agg(F.max(F.abs(F.col("new") - F.col("x")))).first()[0] or 0.0
         scale = min(1.0, 3.0 / max(big, 1e-12))
-        x = materialize(both.select("item", (F.col("x") + scale * (F.col("new") - F.col("x"))).alias("x")), "cg-x")
-        if big < 1e-5:
-            break
-    mean = x.agg(F.avg("x")).first()[0] or 0.0
-    return x.select("item", (F.col("x") - mean).alias("strength"))
+        before, x = x, materialize(both.select("item", (F.col("x") + scale * (F.col("new") - F.col("x"))).alias("x")), "cg-x")
+        discard(before, state, system)
+        if big < CHANGE:
+            mean = x.agg(F.avg("x")).first()[0] or 0.0
+            return x.select("item", (F.col("x") - mean).alias("strength"))
+    raise NotConverged(f"a strength still moves by {big} after {rounds} rounds")
 
 
 def strengths(edges: DataFrame, edges_in_memory: int = EDGES_IN_MEMORY) -> DataFrame:
     """(item, strength) of the items of a comparison graph.
 
     The graph has one edge by pair that met, whatever the number of results.
-    Up to ``edges_in_memory`` of them are solved in one place; more, by tables.
-    Both ways solve the same system.
+    Up to ``edges_in_memory`` of them the vectors are arrays in one place;
+    with more they are tables. Both ways take the same steps to the same
+    tolerances.
     """
     edges = materialize(edges, "edges")
     if edges.count() > edges_in_memory:
@@ -167,8 +186,6 @@ def ranking(edges: DataFrame, **options: int) -> DataFrame:
 
     Empty without comparisons.
     """
-    from pyspark.sql import Window
-
     edges = materialize(edges, "edges")
     ends = F.explode(
         F.array(
@@ -177,26 +194,46 @@ def ranking(edges: DataFrame, **options: int) -> DataFrame:
         )
     )
     totals = edges.select(ends.alias("e")).groupBy("e.item").agg(F.sum("e.n").cast("bigint").alias("n"), F.sum("e.w").cast("bigint").alias("wins"))
-    placed = strengths(edges, **options).withColumn("rank_no", F.row_number().over(Window.orderBy(F.desc("strength"), "item")).cast("bigint"))
-    return placed.join(totals, "item").select("item", "rank_no", "strength", "n", "wins")
+    placed = position(strengths(edges, **options).withColumn("weak", -F.round("strength", DIGITS)), ["weak", "item"], "rank_no")
+    return placed.join(totals, "item").select("item", (F.col("rank_no") + 1).alias("rank_no"), "strength", "n", "wins")
 
 
 def residuals(edges: DataFrame, **options: int) -> DataFrame:
-    """(a, b, n, margin, fitted, residual): what one order can't explain of each pair's results.
+    """(a, b, n, margin, fitted, residual, weight, energy): what one order can't explain of each pair's results.
 
-    ``margin`` is the smoothed log-odds of the pair's results, ``fitted`` the
-    difference of strengths, ``residual`` the cyclic part left over; large
-    ones mark pairs in a cycle.
+    Of the system that was solved: ``margin`` is the log-odds margin of the
+    pair at the solution, ``fitted`` the difference of strengths, ``weight``
+    the information of the pair, ``residual`` what is left of the margin, the
+    cyclic part, and ``energy`` its weighted square.
     """
     edges = materialize(edges, "edges")
-    x = strengths(edges, **options)
-    margin = F.log((F.col("wins_a") + 0.5) / (F.col("wins_b") + 0.5))
-    fitted = F.col("va") - F.col("vb")
-    return _spread(edges, x).select(
-        "a", "b", (F.col("wins_a") + F.col("wins_b")).cast("bigint").alias("n"), margin.alias("margin"), fitted.alias("fitted"), (margin - fitted).alias("residual")
+    at = _spread(edges, strengths(edges, **options)).withColumn("fitted", F.col("va") - F.col("vb"))
+    weight, pull = _working(F.col("wins_a"), F.col("wins_b"), F.col("fitted"), F)
+    left = F.col("margin") - F.col("fitted")
+    return at.select("a", "b", (F.col("wins_a") + F.col("wins_b")).cast("bigint").alias("n"), weight.alias("weight"), (pull / weight).alias("margin"), "fitted").select(
+        "a", "b", "n", "margin", "fitted", left.alias("residual"), "weight", (F.col("weight") * left * left).alias("energy")
     )
 
 
+def inconsistency(left: DataFrame) -> DataFrame:
+    """(n, energy, norm, share) of residuals: pairs, weighted energy no order explains, its root, and its share of the energy of all margins.
+
+    0 everywhere without a pair; a share of 0 says that one order explains every result.
+    """
+    whole = F.sum(F.col("weight") * F.col("margin") * F.col("margin"))
+    energy = F.coalesce(F.sum("energy"), F.lit(0.0))
+    return left.agg(F.count("*").alias("n"), energy.alias("energy"), F.sqrt(energy).alias("norm"), F.when(whole > 0, energy / whole).otherwise(F.lit(0.0)).alias("share"))
+
+
+def balance(edges: DataFrame, **options: int) -> DataFrame:
+    """(item, n, wins, expected_wins): wins of each item, and those its strength leads to expect; equal where strengths explain all results together."""
+    edges = materialize(edges, "edges")
+    at = _spread(edges, strengths(edges, **options))
+    n, p = F.col("wins_a") + F.col("wins_b"), 1.0 / (1.0 + F.exp(F.col("vb") - F.col("va")))
+    ends = F.array(F.struct(F.col("a").alias("item"), n.alias("n"), F.col("wins_a").alias("w"), (n * p).alias("e")), F.struct(F.col("b").alias("item"), n.alias("n"), F.col("wins_b").alias("w"), (n * (1.0 - p)).alias("e")))
+    return at.select(F.explode(ends).alias("e")).groupBy("e.item").agg(F.sum("e.n").cast("bigint").alias("n"), F.sum("e.w").cast("bigint").alias("wins"), F.sum("e.e").alias("expected_wins"))
+
+
 def judged(preferences: DataFrame) -> DataFrame:
     """Comparison graph of judged answers: rows with both models, different ones, and a confidence of 1 to 10."""
     counted = preferences.where(F.col("metadata.confidence").between(1, 10))

@@ -49,10 +49,23 @@ def test_agrees_with_the_likelihood(spark, results):
 def test_tables_agree_with_memory(spark, results):
     edges = ranking.judged(rows(spark, [(w, l, 5) for w, l in results[:80]]))
     here = {r.item: r.strength for r in ranking.strengths(edges).collect()}
-    there = {r.item: r.strength for r in ranking.solve_distributed(edges.cache(), rounds=4).collect()}
+    there = {r.item: r.strength for r in ranking.strengths(edges, edges_in_memory=0).collect()}
     assert set(here) == set(there)
     for m, x in here.items():
-        assert there[m] == pytest.approx(x, abs=0.02)
+        assert there[m] == pytest.approx(x, abs=1e-6)
+
+
+def test_no_silent_end(spark):
+    a, b, w = np.array([0, 1]), np.array([1, 2]), np.array([9.0, 9.0])
+    with pytest.raises(ranking.NotConverged):
+        ranking.solve(a, b, w, np.zeros(2), 3, rounds=2)
+    with pytest.raises(ranking.NotConverged):
+        ranking.conjugate_gradient(lambda v: np.array([[4.0, 1.0], [1.0, 3.0]]) @ v, np.array([1.0, 2.0]), np.zeros(2), most=1)
+
+
+def test_expected_wins_are_the_wins(spark, results):
+    for r in ranking.balance(ranking.judged(rows(spark, [(w, l, 5) for w, l in results]))).collect():
+        assert r.expected_wins == pytest.approx(r.wins, abs=0.01)
 
 
 def test_what_counts(spark):
@@ -70,7 +83,10 @@ def test_ties_go_by_name(spark):
 def test_cycle_is_a_residual(spark):
     data = [("a", "b", 5)] * 9 + [("b", "c", 5)] * 9 + [("c", "a", 5)] * 9
     out = ranking.residuals(ranking.judged(rows(spark, data))).collect()
-    assert all(abs(r.fitted) < 1e-6 and abs(r.residual) > 2 for r in out)
+    assert all(abs(r.fitted) < 1e-6 and abs(r.residual) == pytest.approx(2) for r in out)
+    total = ranking.inconsistency(ranking.residuals(ranking.judged(rows(spark, data)))).first()
+    assert total.n == 3 and total.share == pytest.approx(1) and total.energy == pytest.approx(sum(r.energy for r in out))
+    assert ranking.inconsistency(ranking.residuals(ranking.judged(rows(spark, [])))).first()[:] == (0, 0.0, 0.0, 0.0)
 
 
 def test_conjugate_gradient():
