@@ -139,6 +139,19 @@ _known = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 KINDS, STANDS = _tables()
 
 
+def hashed_runs(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text) of every run of ``width`` words of the texts."""
+    h, sizes = word_hashes(texts)
+    count = max(0, len(h) - width + 1)
+    power, inverse = _powers(len(h) + 1)
+    run = np.zeros(len(h) + 1, dtype=np.uint64)
+    np.cumsum(h * power[: len(h)], out=run[1:])
+    out = mix((run[width:] - run[:count]) * inverse[:count]) if count else np.zeros(0, dtype=np.uint64)
+    row = np.repeat(np.arange(len(texts)), sizes)[:count]
+    inside = np.arange(count) + width <= np.cumsum(sizes)[row] if count else np.zeros(0, dtype=bool)
+    return out[inside], row[inside]
+
+
 class Multisets:
     """Words of a list of texts: by text, each different word's hash and how often it occurs."""
 

@@ -77,3 +77,22 @@ def test_leak_is_cut_out_beside_a_digit_and_hyphen_at_a_line_end(spark):
     docs = spark.createDataFrame([(1, text, "", "", "")], DOC)
     out = remove_leaks(docs, spark.createDataFrame([(1, P, "", "")], ITEM)).head()
     assert out.n_removed == 14 and out.clean_text == text.replace(P, "") and out.share < 0.5
+
+
+def test_blocks_remove_the_same(spark, monkeypatch):
+    other = "alfa beta gamma delta epsilon zeta eta theta iota kappa lambda mi ni"
+    docs, items = frames(spark)
+    docs = docs.unionByName(spark.createDataFrame([(7, f"x {P} y {other} z " + "w " * 20, "", "", ""), (8, f"{P} {other} " + "w " * 30, "", "", ""), (9, "antes corto de seis palabras y nada después " * 2, "", "", "")], DOC))
+    items = items.unionByName(spark.createDataFrame([(20, other, "", ""), (21, "corto de seis palabras y nada", "", "")], ITEM))
+    key = lambda r: (r.doc_id or 0, r.n_removed, round(r.share, 6), r.clean_text or "")
+    one = sorted(map(key, remove_leaks(docs, items).collect()))
+    monkeypatch.setattr(leaks, "BLOCK_CHARS", 10)
+    assert sorted(map(key, remove_leaks(docs, items).collect())) == one
+    got = {k[0]: k for k in one}
+    assert got[7][1] == 28 and got[9][1] == 12 and not got[9][3]
+
+
+def test_located_words_agree():
+    for t in ("El molí-\nnero  Ñandú—dos COVID-19-\nre\u00admite x_y", "", "a b"):
+        found, places = leaks.located_words(t)
+        assert found == passage_words(t) and len(places) == len(found)
