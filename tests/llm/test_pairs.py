@@ -62,6 +62,27 @@ def test_language_asked_at_the_end_of_a_long_prompt():
     assert expected_language(passage) == "es"
 
 
+POLITE = "Entiendo tu interés por este asunto y espero que lo comprendas. Te recomiendo acudir a un profesional que conozca bien el caso y pueda revisar contigo toda la documentación antes de dar cualquier paso. También puedes consultar los canales oficiales, donde te darán información actualizada. Si necesitas otra cosa en la que pueda ayudarte, estoy aquí para lo que haga falta. Gracias por tu comprensión y un cordial saludo."
+
+
+def test_refusals_of_any_length():
+    short = "Lo siento, pero no puedo ayudarte con esta solicitud."
+    for text in (short, f"{short} {POLITE}", f"{POLITE} {short}", f"{short} {POLITE}" * 4):
+        assert defect(Q, text, Copies()) == "refusal"
+    answer = "El plazo es de un mes y se cuenta desde la publicación del anuncio en el tablón de la villa. La instancia se presenta en el registro y se resuelve en dos meses. Contra ella cabe recurso ante el pleno."
+    assert defect(Q, f"No puedo darte la fecha exacta. {answer}", Copies()) is None
+
+
+def test_copy_after_a_word_of_courtesy():
+    assert defect(Q, f"Claro, {Q}", Copies()) == "copy"
+    assert defect(Q, f"Claro, {Q} Sí.", Copies()) is None
+    assert defect(Q, f"{Q} " * 3000, Copies()) == "copy"
+
+
+def test_many_placeholders():
+    assert defect(Q, "N/A. " * 50, Copies()) == "empty" and defect(Q, "usuario asistente " * 20, Copies()) == "empty"
+
+
 def test_short_answer_is_whole():
     assert not is_truncated("El artículo 133 de la ordenanza reguladora")
 
