@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 
 from acequia.llm.spam import covered, keyword_pages, page_profile
@@ -51,3 +54,43 @@ def test_coverage_matches_brute_force():
     for _ in range(60):
         tokens = [rng.choice("abcde") for _ in range(rng.randrange(0, 25))]
         assert covered(tokens) == brute(tokens)
+
+
+def test_any_host_is_a_link():
+    for top in ("com", "fr", "io", "pt"):
+        assert page_profile(" ".join(f"sitio{i}.{top}" for i in range(12)))["links"] == 12
+    assert page_profile("La casa se hizo en 1920.El taller es de 1930. Lo dice el art.12 y la pág.3.")["links"] == 0
+
+
+def test_long_tags_are_tags():
+    text = f'<div class="{"x " * 400}">El taller de Somtejar empleó cantería en los encargos que se conocen de la villa.</div>'
+    assert page_profile(text)["other_words"] == 0
+
+
+def spam(text, spark):
+    return keyword_pages(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first().is_spam
+
+
+def test_lists_without_repetition(spark):
+    rng = random.Random(5)
+    name = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(4))
+    assert spam(", ".join(name() for _ in range(40)), spark)
+    assert spam("\n".join(f"http://{name()}.example" for _ in range(5)), spark)
+
+
+def test_stuffing_dressed_as_a_sentence(spark):
+    words = ["notaría", "notaría barata", "notaría en Vimmativa", "notaría cerca de mí", "notaría online y sin cita", "notaría que es la mejor"]
+    rng = random.Random(6)
+    assert spam(" ".join(rng.choice(words) for _ in range(80)), spark)
+    assert not spam(" ".join(f"Esta medida cuesta {rng.randrange(9999)} euros y no se revisará hasta que pasen {rng.randrange(99)} meses." for _ in range(6)), spark)
+
+
+def test_pairs_tell_what_substrings_cover():
+    rng = random.Random(7)
+    for _ in range(200):
+        tokens = [rng.choice("abcdef") for _ in range(rng.randrange(40))]
+        pairs = Counter(zip(tokens, tokens[1:]))
+        for least in (2, 3):
+            again = [pairs[p] >= least for p in zip(tokens, tokens[1:])]
+            want = [(i > 0 and again[i - 1]) or (i < len(again) and again[i]) for i in range(len(tokens))]
+            assert covered(tokens, least) == want
