@@ -218,6 +218,9 @@ class Copies:
 
 def is_refusal(response: str) -> bool:
     """Declines: a phrase of the refusal dictionary, and most words in sentences that decline, excuse or refer elsewhere, however many they are."""
+    plain = " ".join(words(response))
+    if not _REFUSAL.search(plain) and not _CUES[5].search(plain):
+        return False
     total = declining = around = 0
     first: bool | None = None
     seen: set[int] = set()

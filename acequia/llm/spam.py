@@ -41,7 +41,7 @@ CLAUSE_WORDS = frozenset(
 
 # General top-level domains; any two letters are taken for a country's.
 _TOP = "com|org|net|info|edu|gov|gob|mil|int|biz|name|pro|aero|coop|museum|cat|eus|gal|io|app|dev|shop|store|online|site|web|blog|cloud|tech|xyz|club|live|news|agency|example|test"
-_HOST = rf"(?:[a-z0-9-]+\.)*[a-z0-9-]{{3,}}\.(?:{_TOP}|[a-z]{{2}})"
+_HOST = rf"(?:[a-z0-9-]+\.)*(?=[0-9-]*[a-z])[a-z0-9-]{{3,}}\.(?:{_TOP}|(?-i:[a-z]{{2}}))"
 _URL = re.compile(rf"(?:https?://|www\.)\S+|(?<![\w@.]){_HOST}(?:[/:?#]\S*|(?![\w.]))", re.I)
 _HAS_URL = re.compile(r"://|www\.|[a-z0-9-]\.[a-z]{2}", re.I)
 _ANCHOR = re.compile(r"<a\b[^>]*>(.*?)</a\s*>", re.I | re.S)
