@@ -80,3 +80,17 @@ def missing_fields(**columns: Column) -> Column:
     for name, c in columns.items():
         tests.append(F.when(c.isNull() | (F.trim(c.cast("string")).isin("", "[]")), F.lit(name)))
     return F.array_compact(F.array(*tests))
+
+
+def field_errors(bounds: dict[str, tuple[int | None, int | None]]) -> Column:
+    """What is wrong with text fields of a schema: missing, short or long, by the least and most characters of each; None is no bound."""
+    tests = []
+    for name, (least, most) in bounds.items():
+        c = F.col(name)
+        test = F.when(c.isNull(), F.lit(f"{name}_missing"))
+        if least is not None:
+            test = test.when(F.length(c) < least, F.lit(f"{name}_short"))
+        if most is not None:
+            test = test.when(F.length(c) > most, F.lit(f"{name}_long"))
+        tests.append(test)
+    return F.array_compact(F.array(*tests))

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns of the corpus's cleaning steps and filters.
-TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}\x{85}]"
 IMAGE = r"(?d)!\[.*?\]\(.*?\)"
 NEWLINES = r"[\r\n]{2,}"
 WIKI_HEADING = r"(?dm)^\s*=+\s*(.+?)\s*=+\s*$"

@@ -103,3 +103,26 @@ def language_score(c: Column, frequent: list[str]) -> Column:
     found = F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+)"), F.lit(1))
     hits = F.size(F.filter(found, lambda w: w.isin(frequent)))
     return F.when(F.size(found) > 0, hits / F.size(found)).otherwise(F.lit(0.0))
+
+
+# How an answer begins that declines, lower case.
+REFUSAL_PREFIXES = (
+    "lo siento", "lo lamento", "lamento no poder", "no puedo ayudar", "no puedo responder", "no puedo proporcionar", "no me es posible", "no estoy autorizad", "como modelo de lenguaje", "como asistente virtual",
+    "i am sorry", "sorry", "i cannot", "i am unable", "as an ai", "je suis désolé", "je ne peux pas", "não posso", "ho sento", "no puc ajudar",
+)
+
+
+def refuses(c: Column) -> Column:
+    """Whether an answer begins with a refusal, quotes and marks before it left aside; false of a null."""
+    bare = F.regexp_replace(F.lower(c), r"^[^\p{L}]+", "")
+    out = F.lit(False)
+    for prefix in REFUSAL_PREFIXES:
+        out = out | F.startswith(bare, F.lit(prefix))
+    return F.coalesce(out, F.lit(False))
+
+
+def near_question(question: Column, answer: Column, least: float = 0.5) -> Column:
+    """Whether the vectors of question and answer have a cosine of ``least`` or more; false of a null or a zero vector."""
+    from acequia.functions.measures import cosine
+
+    return F.coalesce(cosine(question, answer) >= least, F.lit(False))

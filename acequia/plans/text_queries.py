@@ -29,7 +29,7 @@ def joined(reasons: str = "reasons"):
     return F.array_join(reasons, ",").alias("reasons")
 
 
-TOKENS = r"CAST(coalesce(len(regexp_extract_all({0}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]')), 0) AS BIGINT)"
+TOKENS = r"CAST(coalesce(len(regexp_extract_all({0}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s\p{{Z}}\x{{85}}]')), 0) AS BIGINT)"
 
 
 def tokens_sql(column: str) -> str:

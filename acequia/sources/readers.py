@@ -101,3 +101,60 @@ def wide_answers(df: DataFrame, item: str, pattern: str) -> DataFrame:
         raise ValueError(f"no header matches {pattern}")
     cells = F.explode(F.array(*[F.struct(F.lit(a).alias("annotator"), F.col(f"`{c}`").cast("string").alias("answer")) for c, a in found.items()]))
     return df.select(F.col(item).alias("item"), cells.alias("r")).select("item", "r.*").where(F.trim("answer") != "")
+
+
+def sharded(df: DataFrame, order: list[str], workers: int) -> DataFrame:
+    """``df`` with the shard of each row: rows in a total order are dealt to the workers in turn."""
+    from acequia.operators.ordering import position
+
+    return position(df, order, "__at").withColumn("shard", (F.col("__at") % workers).cast("int")).drop("__at")
+
+
+def xlsx(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
+    """(file, row, cells) of the sheets of that number in all workbooks of a path: cells by column letter, as text, rows from 1.
+
+    A workbook is read whole, by one task; they are the work of people and small.
+    """
+    import io
+    import re
+    import zipfile
+    from xml.etree import ElementTree
+
+    space = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+
+    def rows_of(data: bytes) -> list[tuple[int, dict[str, str]]]:
+        with zipfile.ZipFile(io.BytesIO(data)) as book:
+            shared = []
+            if "xl/sharedStrings.xml" in book.namelist():
+                shared = ["".join(t.text or "" for t in si.iter(f"{space}t")) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{space}si")]
+            out = []
+            for row in ElementTree.fromstring(book.read(f"xl/worksheets/sheet{sheet}.xml")).iter(f"{space}row"):
+                cells = {}
+                for c in row.iter(f"{space}c"):
+                    v = c.find(f"{space}v")
+                    said = "".join(t.text or "" for t in c.iter(f"{space}t")) if c.get("t") == "inlineStr" else None if v is None else v.text
+                    if said is not None:
+                        cells[re.sub(r"\d", "", c.get("r", ""))] = shared[int(said)] if c.get("t") == "s" else said
+                out.append((int(row.get("r", len(out) + 1)), cells))
+            return out
+
+    def run(batches):  # noqa: ANN001, ANN202
+        for batch in batches:
+            yield pd.DataFrame([(f, r, cells) for f, data in zip(batch["path"], batch["content"]) for r, cells in rows_of(data)], columns=["file", "row", "cells"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, row int, cells map<string, string>")
+
+
+def form_answers(spark: SparkSession, path: str, item_header: str, pattern: str, sheet: int = 1) -> DataFrame:
+    """(file, item, annotator, answer): answers of forms in workbooks, columns chosen by their header in the first row.
+
+    The column under ``item_header`` names the item; those whose header
+    matches hold answers, the annotator is the pattern's first group.
+    """
+    cells = xlsx(spark, path, sheet)
+    flat = cells.select("file", "row", F.explode("cells").alias("letter", "value"))
+    heads = flat.where("row = 1").select("file", "letter", F.trim("value").alias("head"))
+    body = flat.where("row > 1").join(heads, ["file", "letter"])
+    items = body.where(F.col("head") == item_header).select("file", "row", F.col("value").alias("item"))
+    answers = body.where(F.col("head").rlike(pattern)).select("file", "row", F.regexp_extract("head", pattern, 1).alias("annotator"), F.col("value").alias("answer"))
+    return answers.where(F.trim("answer") != "").join(items, ["file", "row"]).select("file", "item", "annotator", "answer")
