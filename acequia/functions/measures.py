@@ -135,13 +135,41 @@ def ter(hypothesis: str | None, reference: str | None) -> float:
     return float(before[-1] / len(r))
 
 
-_OVERLAP = T.StructType([T.StructField(n, T.DoubleType()) for n in ("rouge_1", "rouge_2", "rouge_l", "ter")])
+def meteor(hypothesis: str | None, reference: str | None, alpha: float = 0.9, beta: float = 3.0, gamma: float = 0.5) -> float:
+    """METEOR of exact words: weighted mean of precision and recall, less a penalty for the runs the matches fall into.
+
+    Words are matched one to one, each to the place that continues the run of
+    the match before it if there is one, else to the first still free.
+    """
+    h, r = (_TOKEN.findall((t or "").lower()) for t in (hypothesis, reference))
+    free: dict[str, list[int]] = {}
+    for i, t in enumerate(r):
+        free.setdefault(t, []).append(i)
+    at = -2
+    matches = runs = 0
+    for t in h:
+        places = free.get(t)
+        if not places:
+            at = -2
+            continue
+        following = at + 1 in places
+        runs += not following
+        at = places.pop(places.index(at + 1) if following else 0)
+        matches += 1
+    if not matches:
+        return 0.0
+    precision, recall = matches / len(h), matches / len(r)
+    mean = precision * recall / (alpha * precision + (1 - alpha) * recall)
+    return mean * (1 - gamma * (runs / matches) ** beta)
+
+
+_OVERLAP = T.StructType([T.StructField(n, T.DoubleType()) for n in ("rouge_1", "rouge_2", "rouge_l", "ter", "meteor")])
 
 
 @F.pandas_udf(_OVERLAP)
 def overlap_columns(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    rows = [(rouge_n(x, y, 1), rouge_n(x, y, 2), rouge_l(x, y), ter(x, y)) for x, y in zip(a, b)]
-    return pd.DataFrame(rows, columns=["rouge_1", "rouge_2", "rouge_l", "ter"])
+    rows = [(rouge_n(x, y, 1), rouge_n(x, y, 2), rouge_l(x, y), ter(x, y), meteor(x, y)) for x, y in zip(a, b)]
+    return pd.DataFrame(rows, columns=["rouge_1", "rouge_2", "rouge_l", "ter", "meteor"])
 
 
 @F.pandas_udf(T.DoubleType())

@@ -28,16 +28,26 @@ def _wider(kinds: set[str]) -> str:
     return max(kinds, key=order.index) if kinds <= set(order) and "boolean" not in kinds else "string"
 
 
+def _digest(keys: list[Column]) -> Column:
+    """A hash of key values in which a null differs from any text."""
+    return F.sha2(F.to_json(F.struct(*[k.cast("string").alias(f"k{i}") for i, k in enumerate(keys)])), 256)
+
+
 def keep_first(df: DataFrame, keys: list[str | Column], order: list[str]) -> DataFrame:
     """The first row of each key in an order that must be total.
 
     By a partial aggregate, not a window: a key with a third of all rows
-    shrinks to one row a task before anything is shuffled.
+    shrinks to one row a task before anything is shuffled. Only a hash of the
+    key and the order are grouped; whole rows are picked by them afterwards,
+    so no text but those that stay is moved. Equal rows count once.
     """
-    names = [f"__k{i}" for i in range(len(keys))]
-    row = F.struct(*[F.col(c) for c in df.columns])
-    keyed = df.select(*[(F.col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(keys, names)], F.struct(*order).alias("__o"), row.alias("__r"))
-    return keyed.groupBy(*names).agg(F.min_by("__r", "__o").alias("__r")).select("__r.*")
+    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    keyed = df.withColumn("__h", _digest(columns))
+    firsts = keyed.groupBy("__h").agg(F.min(F.struct(*order)).alias("__o")).select(F.col("__h").alias("__fh"), *[F.col(f"__o.{c}").alias(f"__f{i}") for i, c in enumerate(order)])
+    same = F.col("__h") == F.col("__fh")
+    for i, c in enumerate(order):
+        same = same & F.col(c).eqNullSafe(F.col(f"__f{i}"))
+    return keyed.join(firsts, same, "left_semi").dropDuplicates(["__h", *order]).drop("__h")
 
 
 def text_dedup(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -63,8 +73,18 @@ def duplicate_ids(df: DataFrame, text: str = "text", id_column: str = "doc_id")
 
 
 def text_then_id_dedup(df: DataFrame, text: str = "text", id_column: str = "doc_id", order: list[str] | None = None) -> DataFrame:
-    """One row by text, then one by id."""
-    return keep_first(keep_first(df, [text], order or [id_column]), [id_column], order or [id_column])
+    """One row by text, then one by id.
+
+    Both steps work on hashes, ids and the order; the rows that stay are then
+    picked from the table at once.
+    """
+    order = order or [id_column]
+    light = df.select(_digest([F.col(text)]).alias("__t"), F.col(id_column).alias("__id"), F.struct(*order).alias("__o"))
+    once = light.groupBy("__t").agg(F.min(F.struct("__o", "__id")).alias("r")).select("__t", "r.__o", "r.__id")
+    first = once.groupBy("__id").agg(F.min(F.struct("__o", "__t")).alias("r")).select(F.col("r.__t").alias("__ft"), F.col("r.__o").alias("__fo"), F.col("__id").alias("__fid"))
+    keyed = df.withColumn("__t", _digest([F.col(text)])).withColumn("__o", F.struct(*order))
+    same = (F.col("__t") == F.col("__ft")) & F.col(id_column).eqNullSafe(F.col("__fid")) & F.col("__o").eqNullSafe(F.col("__fo"))
+    return keyed.join(first, same, "left_semi").dropDuplicates(["__t", "__o", id_column]).drop("__t", "__o")
 
 
 def merge_new(existing: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

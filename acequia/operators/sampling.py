@@ -220,11 +220,12 @@ def trim_to_total(sample: DataFrame, topic: str, id_column: str, total: int, lea
 def fill_to_total(sample: DataFrame, df: DataFrame, topic: str, id_column: str, total: int, seed: int = 42) -> DataFrame:
     """A sample below its total gets rows it lacks, from the topics with most left, as many of each as any."""
     missing = max(0, total - sample.count())
-    rest = df.join(sample.select(id_column), id_column, "left_anti").withColumn("__key", shuffle_key(F.col(id_column), seed))
+    rest = df.select(id_column, topic).join(sample.select(id_column), id_column, "left_anti").withColumn("__key", shuffle_key(F.col(id_column), seed))
     ranked = running(rest, [topic], "__key", [id_column], F.lit(1), "__rank")
     left = rest.groupBy(F.struct(F.col(topic).alias("v")).alias("__t")).agg(F.count("*").alias("__left"))
     ordered = ranked.withColumn("__t", F.struct(F.col(topic).alias("v"))).join(left, "__t").orderBy("__rank", F.desc("__left"), "__key", id_column)
-    return sample.unionByName(ordered.limit(missing).select(*sample.columns))
+    # ids are put in order, rows picked by them
+    return sample.unionByName(df.join(ordered.limit(missing).select(id_column), id_column, "left_semi").select(*sample.columns))
 
 
 def uniform(df: DataFrame, n: int, id_column: str, seed: int = 42) -> DataFrame:

@@ -8,7 +8,7 @@ leave it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -158,3 +158,71 @@ def diverse(df: DataFrame, n: int, near: int = 4000, weight: float = 0.7, id_col
         return pd.DataFrame({"id": f["id"].iloc[taken], "place": range(1, len(taken) + 1)})
 
     return candidates.groupBy("g").applyInPandas(choose, f"id {kind}, place int")
+
+
+def resilient(embed: Callable[[list[str]], np.ndarray], tries: int = 2) -> Callable[[list[str | None]], list[list[float] | None]]:
+    """An embedder that survives failures of the given one: it tries again, then halves the batch, and leaves a text null that fails alone."""
+
+    def run(texts: list[str | None]) -> list[list[float] | None]:
+        there = [i for i, t in enumerate(texts) if t is not None]
+        out: list[list[float] | None] = [None] * len(texts)
+        stack = [there] if there else []
+        while stack:
+            part = stack.pop()
+            for _ in range(tries):
+                try:
+                    found = np.asarray(embed([texts[i] for i in part]), dtype=float)
+                except Exception:  # noqa: BLE001, whatever the given function raises
+                    continue
+                for i, v in zip(part, found):
+                    out[i] = v.tolist()
+                break
+            else:
+                if len(part) > 1:
+                    stack += [part[len(part) // 2 :], part[: len(part) // 2]]
+        return out
+
+    return run
+
+
+def embedded(df: DataFrame, embed: Callable[[list[str]], np.ndarray], text: str = "text", name: str = "vector", tries: int = 2, batch: int = 256) -> DataFrame:
+    """``df`` with the vector of a text by a given function, in batches; null of a null text and of one that fails alone."""
+    safe = resilient(embed, tries)
+
+    @F.pandas_udf("array<double>")
+    def column(c: pd.Series) -> pd.Series:
+        texts = c.where(c.notna(), None).tolist()
+        return pd.Series([v for k in range(0, len(texts), batch) for v in safe(texts[k : k + batch])], index=c.index, dtype=object)
+
+    return df.withColumn(name, column(F.col(text)))
+
+
+def feature_classifier(df: DataFrame, label: str, numbers: list[str], vector: str, components: int = 2, layers: tuple[int, ...] = (16,), seed: int = 42, rounds: int = 100):  # noqa: ANN201
+    """A fitted pipeline: numbers, a vector and its principal components as features of a perceptron with hidden layers.
+
+    Rows whose label is null are left out of the fit; null numbers and
+    vectors have to be filled before. ``transform`` gives ``prediction``.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+    from pyspark.ml.functions import array_to_vector
+
+    known = df.where(F.col(label).isNotNull())
+    size = len(known.select(vector).head()[0])
+    classes = int(known.agg(F.max(label)).first()[0]) + 1
+    features = known.withColumn("__v", array_to_vector(F.col(vector).cast("array<double>"))).withColumn(label, F.col(label).cast("double"))
+    stages = [
+        PCA(k=components, inputCol="__v", outputCol="__pca"),
+        VectorAssembler(inputCols=[*numbers, "__v", "__pca"], outputCol="__all"),
+        StandardScaler(inputCol="__all", outputCol="__scaled", withMean=True),
+        MultilayerPerceptronClassifier(layers=[len(numbers) + size + components, *layers, classes], labelCol=label, featuresCol="__scaled", seed=seed, maxIter=rounds),
+    ]
+    return Pipeline(stages=stages).fit(features)
+
+
+def classified(df: DataFrame, model, vector: str) -> DataFrame:  # noqa: ANN001
+    """``df`` with ``prediction`` by a model of feature_classifier."""
+    from pyspark.ml.functions import array_to_vector
+
+    return model.transform(df.withColumn("__v", array_to_vector(F.col(vector).cast("array<double>")))).select(*df.columns, F.col("prediction").cast("int").alias("prediction"))

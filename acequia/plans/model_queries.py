@@ -53,7 +53,7 @@ def segment_scores(spark, d):
 
 def overlap_scores(spark, d):
     rows = spread(_pairs(spark, d).where("chosen is not null and rejected is not null").select("sample_id", "chosen", "rejected")).select("sample_id", measures.overlap_columns("chosen", "rejected").alias("s"))
-    return rows.select("sample_id", *[F.round(f"s.{n}", 6).alias(n) for n in ("rouge_1", "rouge_2", "rouge_l", "ter")])
+    return rows.select("sample_id", *[F.round(f"s.{n}", 6).alias(n) for n in ("rouge_1", "rouge_2", "rouge_l", "ter", "meteor")])
 
 
 def corpus_bleu(spark, d):
