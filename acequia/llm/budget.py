@@ -187,53 +187,77 @@ def path_length(trie: DoubleArray, text: bytes, unknown: float = -20.0) -> int:
     return pieces[n]
 
 
-def unigram_vocabulary(model_file: str) -> dict[bytes, float]:
-    """Pieces of a sentencepiece model with scores as log-probabilities.
+def unigram_vocabulary(model: bytes) -> dict[bytes, float]:
+    """Pieces of a serialised sentencepiece unigram model with their log-probabilities; empty of a model of another kind.
 
-    A BPE model gives ranks in place of log-probabilities; they are read as
-    Zipf's law would have them, so the best path is an estimate of its count.
+    A model of merges has ranks where a unigram model has log-probabilities:
+    whole numbers, one less for each piece.
     """
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=model_file)
+    read = sentencepiece.SentencePieceProcessor(model_proto=model)
     out = {}
-    for i in range(model.get_piece_size()):
-        if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i):
-            continue
-        score = model.get_score(i)
-        out[model.id_to_piece(i).encode()] = score if 0 > score > -25 and score != int(score) else -math.log(2 + abs(score)) - 2.0
-    return out
+    for i in range(read.get_piece_size()):
+        if not (read.is_control(i) or read.is_unknown(i) or read.is_byte(i) or read.is_unused(i)):
+            out[read.id_to_piece(i).encode()] = read.get_score(i)
+    return {} if all(x == int(x) for x in out.values()) else out
 
 
 _SEGMENT = re.compile(r"\S+")
 
 
-def subword_counts(rows: DataFrame, model_file: str, *, text_column: str = "text", memo: int = 200_000) -> DataFrame:
-    """``rows`` with ``n_subwords``: pieces of each text by count-only Viterbi over a unigram vocabulary.
+class SegmentCounter:
+    """Pieces of a normalised segment under an existing vocabulary.
+
+    Of a unigram vocabulary by count-only Viterbi over a double-array trie;
+    of one of merges, for which the best path isn't the encoding, by the
+    tokenizer's own encoder. Segments met before are remembered, up to
+    ``memo`` of them.
+    """
 
-    Texts are normalised (NFKC) and cut at white space; each segment's count
-    is worked out once and remembered, up to ``memo`` segments a task.
-    Null texts have 0.
+    def __init__(self, vocabulary: dict[bytes, float] | None, model: bytes | None, memo: int = 200_000):
+        self.trie = DoubleArray(vocabulary) if vocabulary else None
+        self.encoder = None
+        if not vocabulary:
+            import sentencepiece
+
+            self.encoder = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.memo = memo
+        self.known: dict[str, int] = {}
+
+    def count(self, texts: list[str | None]) -> list[int]:
+        segments = [_SEGMENT.findall(unicodedata.normalize("NFKC", t)) if t else [] for t in texts]
+        new = list({s for found in segments for s in found if s not in self.known})
+        if len(self.known) + len(new) > self.memo:
+            new = list({s for found in segments for s in found})
+            self.known = {}
+        if self.trie is not None:
+            self.known.update((s, path_length(self.trie, ("▁" + s).encode())) for s in new)
+        elif new:
+            self.known.update(zip(new, map(len, self.encoder.encode(new))))
+        return [sum(map(self.known.__getitem__, found)) for found in segments]
+
+
+def subword_counts(rows: DataFrame, model_file: str | None = None, *, vocabulary: dict[bytes, float] | None = None, text_column: str = "text") -> DataFrame:
+    """``rows`` with ``n_subwords``: pieces of each text under an existing tokenizer.
+
+    ``model_file`` is a sentencepiece model; ``vocabulary`` gives pieces and
+    log-probabilities of a unigram tokenizer instead. Texts are normalised
+    (NFKC) and cut at white space. Null and empty texts have 0.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(DoubleArray(unigram_vocabulary(model_file)))
+    model = None
+    if vocabulary is None:
+        with open(model_file, "rb") as f:
+            model = f.read()
+        vocabulary = unigram_vocabulary(model)
+    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, model))
     names = rows.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", n_subwords bigint"
-    known: dict[str, int] = {}
+    built: list[SegmentCounter] = []
 
     def count(batch: dict[str, list]) -> dict[str, list]:
-        trie = shared.value
-        out = []
-        for text in batch[text_column]:
-            n = 0
-            for segment in _SEGMENT.findall(unicodedata.normalize("NFKC", text)) if text else ():
-                k = known.get(segment)
-                if k is None:
-                    k = path_length(trie, ("▁" + segment).encode())
-                    if len(known) >= memo:
-                        known.clear()
-                    known[segment] = k
-                n += k
-            out.append(n)
-        return {**{c: batch[c] for c in names}, "n_subwords": out}
+        if not built:
+            built.append(SegmentCounter(*shared.value))
+        return {**{c: batch[c] for c in names}, "n_subwords": built[0].count(batch[text_column])}
 
     return map_rows(rows, count, schema)

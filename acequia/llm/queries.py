@@ -41,6 +41,16 @@ def p3_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.residuals(ranking.judged(_read(spark, sf_dir, "preferences")))
 
 
+def p3_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wins of each model beside those that the strengths lead to expect."""
+    out = ranking.balance(ranking.judged(_read(spark, sf_dir, "preferences")))
+    return out.select(F.col("item").alias("model"), "n", "wins", F.round("expected_wins", 1).alias("expected_wins"))
+
+
+def p3_inconsistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.inconsistency(p3_residuals(spark, sf_dir))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = overlap.cross_split_pairs(_read(spark, sf_dir, "parallel_biomedical"))
     return pairs.select(F.least("id_one", "id_other").alias("pair_id_a"), F.greatest("id_one", "id_other").alias("pair_id_b"))
@@ -61,6 +71,11 @@ def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.dropDuplicates(["source_id", "id", "piece_no"])
 
 
+def p5_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each oversized row that its pieces hold, shared ones once, and whether all pieces are within the limit."""
+    return p5_pieces(spark, sf_dir).groupBy("source_id", "id").agg(F.sum(F.col("n_tokens") - F.col("n_shared")).alias("n_tokens"), F.every(F.col("n_tokens") <= 512).alias("within"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = neardup.near_pairs(_read(spark, sf_dir, "preferences"), "sample_id", ["prompt", "chosen"])
     return pairs.select(F.col("id_a").alias("sample_id_a"), F.col("id_b").alias("sample_id_b"))
@@ -79,6 +94,10 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.remove_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "eval_items")).where("n_removed > 0")
 
 
+def p7_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_clean(spark, sf_dir).select("doc_id", "n_removed")
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "mix_targets")).select("source", "passes", "falls_short")
 

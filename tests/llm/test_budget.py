@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from acequia.llm.budget import DoubleArray, path_length, subword_counts, token_budget, unigram_vocabulary
+from acequia.llm.budget import DoubleArray, SegmentCounter, path_length, subword_counts, token_budget, unigram_vocabulary
 
 AT = dt.datetime(2024, 1, 1)
 ROWS = "source_id string, id string, text string, metadata string, tokens bigint, loaded_at timestamp, lang string, domain string"
@@ -59,17 +59,26 @@ def test_double_array_and_viterbi():
 
 
 @pytest.mark.skipif(not os.path.exists("/opt/tokenizers/piece_bpe_32k.model"), reason="no vocabulary files")
-def test_estimate_is_near_the_tokenizer(spark):
+def test_counts_are_those_of_the_tokenizer(spark):
     import sentencepiece
 
     path = "/opt/tokenizers/piece_bpe_32k.model"
-    texts = ["La resolución agota la vía administrativa y quedarán a salvo los derechos de terceros.", None, "", "Nobody objected when the council extended the filing period."]
+    texts = ["La resolución agota la vía administrativa y quedarán a salvo los derechos de terceros.", None, "", "Nobody objected when the council extended the filing period.", " ".join(["molienda"] * 3000)]
     df = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id int, text string, k int")
     got = [r.n_subwords for r in subword_counts(df, path).orderBy("doc_id").collect()]
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    assert got[1] == got[2] == 0
-    for n, t in ((got[0], texts[0]), (got[3], texts[3])):
-        assert abs(n - len(model.encode(t))) <= 3
-    trie = DoubleArray(unigram_vocabulary(path))
-    assert [e for e, _ in trie.prefixes("▁la".encode(), 0)][-1] == len("▁la".encode())
+    assert got == [len(model.encode(t)) if t else 0 for t in texts]
+    with open(path, "rb") as f:
+        assert unigram_vocabulary(f.read()) == {}
     assert subword_counts(df.where(F.lit(False)), path).count() == 0
+
+
+def test_counts_of_a_unigram_vocabulary(spark):
+    vocabulary = {"▁la".encode(): -2.0, "▁".encode(): -3.0, b"la": -2.5, b"l": -4.0, b"a": -4.0, "▁lala".encode(): -3.0, "ñ".encode(): -5.0}
+    df = spark.createDataFrame([(1, "la lala  lalala"), (2, "ñ"), (3, None), (4, " ")], "doc_id int, text string")
+    assert [r.n_subwords for r in subword_counts(df, vocabulary=vocabulary).orderBy("doc_id").collect()] == [1 + 1 + 2, 2, 0, 0]
+
+
+def test_segments_forgotten_are_counted_again():
+    counter = SegmentCounter({b"a": -1.0, "▁".encode(): -1.0}, None, memo=2)
+    assert counter.count(["a aa aaa", "aaaa"]) == [2 + 3 + 4, 5] and counter.count(["a b", None]) == [2 + 2, 0]
