@@ -81,13 +81,11 @@ def chrf(a: str | None, b: str | None, orders: int = 6, beta: float = 2.0) -> fl
 def bleu(candidate: str | None, reference: str | None, orders: int = 4) -> float:
     """Geometric mean of n-gram precisions with one added to each count, times a penalty for brevity."""
     c, r = (_TOKEN.findall((t or "").lower()) for t in (candidate, reference))
-    if not c or not r:
-        return float(not c and not r)
-    logs = 0.0
-    for n in range(1, orders + 1):
-        gc = _grams(c, n)
-        logs += math.log((_shared(gc, _grams(r, n)) + 1) / (gc.total() + 1))
-    return min(1.0, math.exp(1 - len(r) / len(c))) * math.exp(logs / orders)
+    if not (c and r):
+        return float(c == r)
+    same = np.array([_shared(_grams(c, n), _grams(r, n)) for n in range(1, orders + 1)])
+    of = np.maximum(len(c) - np.arange(orders), 0)
+    return float(np.exp(np.log((same + 1) / (of + 1)).mean() + min(0.0, 1 - len(r) / len(c))))
 
 
 def rouge_n(candidate: str | None, reference: str | None, n: int = 1) -> float:

@@ -144,7 +144,7 @@ def content_words(c: Column, stop_words: list[str], least: int = 3) -> Column:
 
 def sentences(c: Column, pattern: str = r"(?<=[.?!])\s+") -> Column:
     """Sentences in order, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(c, pattern), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(c, pattern), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def url_count(c: Column) -> Column:

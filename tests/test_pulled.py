@@ -105,3 +105,8 @@ def test_refusing_answers(spark):
     assert [r[0] for r in rows.select(filters.refuses(F.col("t"))).collect()] == [True, False, False]
     v = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0]), ([1.0, 0.0], [0.0, 1.0]), (None, [1.0])], "a array<double>, b array<double>")
     assert [r[0] for r in v.select(filters.near_question(F.col("a"), F.col("b"))).collect()] == [True, False, False]
+
+
+def test_sentences_keep_their_digits(spark):
+    rows = spark.createDataFrame([("Uno. 15. 1 de 22. Fin.",)], "t string")
+    assert rows.select(X.sentences(F.col("t"))).first()[0] == ["Uno.", "15.", "1 de 22.", "Fin."]
