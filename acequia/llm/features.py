@@ -251,28 +251,30 @@ def common_words(a: str, b: str) -> tuple[int, int, int, float]:
     return common, sum(x.values()), sum(y.values()), dot
 
 
-ID_BITS = 22
+#: Bits of a map of ids, as a power of 2, at most: 8 MB.
+ID_BITS = 26
 
 
 def likely_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose key may be among ``wanted`` (one column), by a bitmap of 2**ID_BITS bits.
+    """Rows whose key may be among ``wanted`` (one column), by a bitmap of 16 bits or more for each.
 
     Takes out most others before their texts go through a shuffle; never one
-    that is wanted. The bitmap has one size, however many keys.
+    that is wanted. Beyond 2**ID_BITS bits the map lets more through. It is
+    put together in the cluster, 64 bits a row.
     """
-    size = 1 << ID_BITS
-    spot: Column = F.pmod(F.xxhash64(F.col(wanted.columns[0]).cast("string")), F.lit(size))
-    spots = wanted.select(spot.cast("int").alias("s")).distinct().toArrow()["s"].to_numpy()
-    bits = np.zeros(size, dtype=bool)
-    bits[spots] = True
-    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
+    bits = min(ID_BITS, max(16, (16 * wanted.count()).bit_length()))
+    spot: Column = F.pmod(F.xxhash64(F.col(wanted.columns[0]).cast("string")), F.lit(1 << bits))
+    words = wanted.select(spot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toArrow()
+    table = np.zeros(1 << (bits - 6), dtype=np.int64)
+    table[words["w"].to_numpy()] = words["b"].to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(table.tobytes())
 
     @F.pandas_udf("boolean")
     def inside(s):  # noqa: ANN001, ANN202
         import pandas as pd
 
-        table = np.frombuffer(shared.value, dtype=np.uint8)
+        known = np.frombuffer(shared.value, dtype=np.uint64)
         at = s.to_numpy(dtype=np.int64)
-        return pd.Series((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+        return pd.Series((known[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
 
-    return rows.where(inside(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(size)).cast("int")))
+    return rows.where(inside(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << bits))))

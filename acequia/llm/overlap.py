@@ -5,7 +5,7 @@ its length; a word overlap of s forces a cosine of 2s/(1+s) at least between
 two of them. The words of a vector are ordered from rare to common, and only
 those go into the inverted lists before which the rest of the vector, by its
 norm or by the largest weights it can meet, could still reach that cosine.
-Lists of the two splits are joined word by word; a pair passes if the product
+Lists of the two splits are joined word by word, long ones in blocks; a pair passes if the product
 at the word plus the product of the norms left on both sides can reach the
 cosine of their lengths. Survivors get exact dot products and word overlaps.
 """
@@ -22,6 +22,10 @@ from acequia.llm.text import map_rows, not_blank, source_name
 from acequia.session import materialize
 
 
+#: Records with a word (or another of its bucket) from which on its list is cut into blocks, each joined in a task of its own.
+HOT = 20_000
+
+
 def _bits(e: np.ndarray, n: np.ndarray) -> np.ndarray:
     """64 parities of a multiset: those of two differ in at most as many bits as the multisets in elements."""
     return by_row(np.bitwise_xor, np.uint64(1) << (e >> np.uint64(58)), n)
@@ -32,7 +36,7 @@ def vectors(rows: DataFrame, first: str, second: str, similarity: float) -> Data
     count, most, _ = frequencies(rows, [first], of_elements=False, weights=True)
     shared = rows.sparkSession.sparkContext.broadcast((count, most))
     id_type = rows.schema["id"].dataType.simpleString()
-    least = 2 * similarity / (1 + similarity)
+    least, hot = 2 * similarity / (1 + similarity), HOT
 
     def run(batch: dict[str, list]) -> dict[str, list]:
         count, most = shared.value
@@ -59,11 +63,12 @@ def vectors(rows: DataFrame, first: str, second: str, similarity: float) -> Data
         keep = (left >= (least - 1e-9) ** 2) & (behind - tail[row] >= least - 1e-9)
         rest = np.sqrt(np.clip(left - squares, 0.0, 1.0))
         weight = np.sqrt(squares)
+        blocks = np.maximum(1, -(-count[b] // hot)).astype(np.int32)
         some = np.nonzero((one.size > 0) & (two.size > 0))[0]
         at = some.tolist()
         keep &= (two.size > 0)[row]
         kinds = np.bincount(row[keep], minlength=len(one.size))[some]
-        indexed = pa.StructArray.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(weight[keep].astype(np.float32)), pa.array(rest[keep].astype(np.float32))], ["word", "w", "rest"])
+        indexed = pa.StructArray.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(weight[keep].astype(np.float32)), pa.array(rest[keep].astype(np.float32)), pa.array(blocks[keep])], ["word", "w", "rest", "blocks"])
         return {
             "id": [batch["id"][i] for i in at],
             "part": [batch["part"][i] for i in at],
@@ -76,7 +81,7 @@ def vectors(rows: DataFrame, first: str, second: str, similarity: float) -> Data
             "lists": lists(kinds, indexed),
         }
 
-    schema = f"id {id_type}, part int, c1 bigint, c2 bigint, n int, m int, bits bigint, bits2 bigint, lists array<struct<word: bigint, w: float, rest: float>>"
+    schema = f"id {id_type}, part int, c1 bigint, c2 bigint, n int, m int, bits bigint, bits2 bigint, lists array<struct<word: bigint, w: float, rest: float, blocks: int>>"
     return map_rows(rows, run, schema)
 
 
@@ -107,16 +112,18 @@ def cross_split_pairs(
     table = materialize(vectors(texts, first, second, similarity), "vectors")
     reps = table.groupBy("c1", "c2", "part").agg(F.min("id").alias("rep"))
     firsts = table.join(reps.select(F.col("rep").alias("id"), "part"), ["id", "part"], "left_semi").select("id", "part", "n", "m", "bits", "bits2", F.explode("lists").alias("l"))
-    flat = firsts.select("id", "part", "n", "m", "bits", "bits2", "l.word", "l.w", "l.rest")
-    a = flat.where("part = 0").select("word", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "m", "bits", "bits2", "w", "rest")])
-    b = flat.where("part = 1").select("word", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "m", "bits", "bits2", "w", "rest")])
+    flat = firsts.select("id", "part", "n", "m", "bits", "bits2", "l.word", "l.w", "l.rest", "l.blocks")
+    # a long list is dealt to cells on the one side, and goes to each of them on the other
+    cell = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    a = flat.where("part = 0").select("word", cell.alias("cell_a"), *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "m", "bits", "bits2", "w", "rest")])
+    b = flat.where("part = 1").select("word", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("cell_b"), *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "m", "bits", "bits2", "w", "rest")])
     near = F.lit(1.0 - 2 * similarity / (1 + similarity))
     apart = lambda x, n: F.bit_count(F.col(f"{x}_a").bitwiseXOR(F.col(f"{x}_b"))) <= near * (F.col(f"{n}_a") + F.col(f"{n}_b")) + 1e-6
     alike = lambda n: F.least(f"{n}_a", f"{n}_b") >= F.lit(similarity) * F.greatest(f"{n}_a", f"{n}_b") - 1e-6
     both = F.col("n_a") + F.col("n_b")
     reach = F.col("w_a") * F.col("w_b") + F.col("rest_a") * F.col("rest_b")
     need = (1 - near) / 2 * both / F.sqrt(F.col("n_a").cast("double") * F.col("n_b"))
-    condition = (F.col("word_a") == F.col("word_b")) & alike("n") & alike("m") & apart("bits", "n") & apart("bits2", "m") & (reach >= need - 1e-4)
+    condition = (F.col("word_a") == F.col("word_b")) & (F.col("cell_a") == F.col("cell_b")) & alike("n") & alike("m") & apart("bits", "n") & apart("bits2", "m") & (reach >= need - 1e-4)
     # merged, for a hash table of one side would walk a word's whole list for each row
     candidates = a.withColumnRenamed("word", "word_a").join(b.withColumnRenamed("word", "word_b").hint("merge"), condition).select("id_a", "id_b").distinct()
     candidates = materialize(candidates, "candidates")

@@ -50,6 +50,14 @@ def test_cross_split_is_exact(spark):
     assert len(want) > 20
 
 
+def test_long_lists_in_blocks(spark, monkeypatch):
+    es = corpus(120, 3)
+    df = spark.createDataFrame([(i, "test" if i % 3 == 0 else "train", "S", "x", t, t, 1, 1) for i, t in enumerate(es)], PAIR)
+    whole = {tuple(r) for r in overlap.cross_split_pairs(df).collect()}
+    monkeypatch.setattr(overlap, "HOT", 3)
+    assert {tuple(r) for r in overlap.cross_split_pairs(df).collect()} == whole and len(whole) > 10
+
+
 def test_cross_split_edges(spark):
     t = "el taller de Somtejar empleó cantería en los encargos conocidos"
     rows = [
