@@ -194,6 +194,12 @@ def shuffle_key(key: Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
 
 
+def hash_number(*parts: Column | str) -> Column:
+    """A number of 60 bits from the MD5 of the parts, the same in any engine; null if a part is."""
+    joined = F.concat(*[x for i, p in enumerate(parts) for x in ([F.lit("|")] if i else []) + [F.lit(p) if isinstance(p, str) else p.cast("string")]])
+    return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("bigint")
+
+
 def word_grams(c: Column, n: int) -> Column:
     """Runs of n words, in order; none of a shorter text."""
     found = F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))

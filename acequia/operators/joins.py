@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from acequia.functions.text import hash_number
+
 from acequia.operators.dedup import keep_first
 
 
@@ -55,13 +57,13 @@ def distractors(queries: DataFrame, passages: DataFrame, id_query: str, id_relev
     a point of its own on a circle of hashed passages, so no query is held
     against all of them.
     """
-    circle = passages.select(F.col(id_passage).alias("p")).distinct().withColumn("h", F.xxhash64(F.lit(seed), "p"))
+    circle = passages.select(F.col(id_passage).alias("p")).distinct().withColumn("h", hash_number(str(seed), F.col("p")))
     total = circle.count()
     buckets = max(1, total // max(1, 2 * n))
     circle = circle.withColumn("b", F.pmod("h", F.lit(buckets)))
-    asked = queries.select(F.col(id_query).alias("q"), F.col(id_relevant).alias("rel")).withColumn("at", F.xxhash64(F.lit(seed + 1), "q"))
+    asked = queries.select(F.col(id_query).alias("q"), F.col(id_relevant).alias("rel")).withColumn("at", hash_number(str(seed + 1), F.col("q")))
     reach = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(min(2, buckets - 1))), lambda i: F.pmod(F.col("at") + i, F.lit(buckets)))))
     near = asked.withColumn("b", reach).join(circle, "b").where("p <> rel")
-    order = Window.partitionBy("q").orderBy(F.xxhash64(F.lit(seed), "q", "p"), "p")
+    order = Window.partitionBy("q").orderBy(hash_number(str(seed), F.col("q"), F.col("p")), "p")
     others = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= n).select("q", "p", F.lit(0).alias("label"))
     return asked.select("q", F.col("rel").alias("p"), F.lit(1).alias("label")).unionByName(others).toDF(id_query, id_passage, "label")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from acequia.plans.model_queries import _MEASURED
+from acequia.plans.model_queries import _MEASURED, overlap_scores
 
 _SPACE = r"[\s\p{Z}\x{85}\x{0b}\x{1c}-\x{1f}]+"
 _TOKENS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s\p{{Z}}\x{{85}}]')"
@@ -46,4 +46,23 @@ ORACLES = {
 }
 ORACLES["sentence_windows"] = f"SELECT id, count(*) AS n, CAST(sum(length(sentence)) AS BIGINT) AS chars, CAST(sum(length(context)) AS BIGINT) AS context_chars FROM ({ORACLES['sentence_context']}) GROUP BY 1"
 
-QUERIES: dict = {}
+_NUMBER = "('0x' || substr(md5({0}), 1, 15))::BIGINT"
+ORACLES["random_distractors"] = f"""WITH c AS (SELECT DISTINCT id_passage AS p FROM eval_items), n AS (SELECT greatest(1, count(*) // 40) AS b FROM c),
+  h AS (SELECT p, {_NUMBER.format("'42|' || p")} % b AS b FROM c, n),
+  q AS (SELECT item_id AS q, id_passage AS rel FROM eval_items WHERE question IS NOT NULL),
+  r AS (SELECT DISTINCT q, rel, ({_NUMBER.format("'43|' || q")} + i) % b AS b FROM (SELECT q, rel, b, unnest(range(0, least(2, b - 1) + 1)) AS i FROM q, n))
+  SELECT q AS item_id, rel AS id_passage, 1 AS label FROM q
+  UNION ALL SELECT q, p, 0 FROM (SELECT q, p FROM r JOIN h USING (b) WHERE p <> rel QUALIFY row_number() OVER (PARTITION BY q ORDER BY {_NUMBER.format("'42|' || q || '|' || p")}, p) <= 20)"""
+ORACLES["consolidated_tables"] = r"""SELECT nfc_normalize(i) AS id, source, TRY_CAST(nullif(regexp_extract(i, '(\d{4}-\d{2}-\d{2})', 1), '') AS DATE) AS date, CAST(doc_id % 1000 AS VARCHAR) AS number, '14' AS legislature
+  FROM (SELECT *, 'ds_' || coalesce(substr(doc_date, 1, 10), 'x') || '_n' || (doc_id % 1000) || '_leg14' AS i FROM documents)"""
+ORACLES["rouge_scores"] = f"""WITH {_scores(_PAIRS)},
+  l AS (SELECT sample_id, n, greatest(len(a) - n + 1, 0) AS x, greatest(len(b) - n + 1, 0) AS y FROM t, o WHERE n <= 2),
+  f AS (SELECT sample_id, n, CASE WHEN x = 0 OR y = 0 THEN CAST(x = y AS DOUBLE) ELSE 2 * coalesce(same, 0) / (x + y) END AS f FROM l LEFT JOIN tm USING (sample_id, n))
+  SELECT sample_id, round(max(f) FILTER (n = 1), 6) AS rouge_1, round(max(f) FILTER (n = 2), 6) AS rouge_2 FROM f GROUP BY 1"""
+
+
+def rouge_scores(spark, d):
+    return overlap_scores(spark, d).select("sample_id", "rouge_1", "rouge_2")
+
+
+QUERIES = {"rouge_scores": rouge_scores}
