@@ -59,6 +59,9 @@ ORACLES["rouge_scores"] = f"""WITH {_scores(_PAIRS)},
   l AS (SELECT sample_id, n, greatest(len(a) - n + 1, 0) AS x, greatest(len(b) - n + 1, 0) AS y FROM t, o WHERE n <= 2),
   f AS (SELECT sample_id, n, CASE WHEN x = 0 OR y = 0 THEN CAST(x = y AS DOUBLE) ELSE 2 * coalesce(same, 0) / (x + y) END AS f FROM l LEFT JOIN tm USING (sample_id, n))
   SELECT sample_id, round(max(f) FILTER (n = 1), 6) AS rouge_1, round(max(f) FILTER (n = 2), 6) AS rouge_2 FROM f GROUP BY 1"""
+ORACLES["dated_titles"] = r"""SELECT doc_id FROM (SELECT doc_id, regexp_replace(lower(title), '[^a-z0-9áéíóúüñ]', '', 'g') AS k, trim(doc_date) AS d FROM documents)
+  WHERE (contains(k, 'exp') OR contains(k, 'as')) AND coalesce(CASE WHEN regexp_matches(d, '^\d{4}-\d{1,2}-\d{1,2}$') THEN TRY_CAST(d AS DATE) WHEN regexp_matches(d, '^\d{4}-\d{1,2}$') THEN TRY_CAST(d || '-01' AS DATE)
+    WHEN regexp_matches(d, '^\d{4}$') THEN TRY_CAST(d || '-01-01' AS DATE) END BETWEEN DATE '2024-01-01' AND DATE '2024-12-31', true) ORDER BY doc_id LIMIT 100"""
 
 
 def rouge_scores(spark, d):

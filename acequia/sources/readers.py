@@ -6,7 +6,7 @@ import unicodedata
 import warnings
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,13 +44,17 @@ def jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = No
 def jsonl_captured(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Columns of the schema, with _invalid_json, _source_file and _source_line (from 1).
 
-    Line numbers need whole files: each is one row before it is taken apart,
-    so this is for the many files of moderate size of a project. Blank lines
-    keep their number and are left out.
+    Files are read in splits, however long: a line's number is its place in
+    its split and the lines of the splits before, which are counted first.
+    Blank lines keep their number and are left out.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.col("value"), F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("_source_file"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row"))
+    blocks = lines.groupBy("__file", "__block").agg(F.count("*").alias("__n"), F.min("__row").alias("__first"))
+    ahead = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)  # one row by split
+    starts = blocks.select("__file", "__block", "__first", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__before"))
+    placed = lines.join(starts, ["__file", "__block"]).withColumn("n", (F.col("__before") + F.col("__row") - F.col("__first")).cast("int"))
     text = F.regexp_replace("value", r"^\x{FEFF}", "")
-    lines = whole.select("_source_file", F.posexplode(F.split(text, r"\r\n|\n|\r")).alias("n", "line")).where(F.trim("line") != "")
+    lines = placed.select(F.substring_index("__file", "/", -1).alias("_source_file"), "n", F.when(F.col("n") == 0, text).otherwise(F.col("value")).alias("line")).where(F.trim("line") != "")
     wanted = T.StructType.fromDDL(schema)
     with_mark = f"{schema}, __bad string"
     parsed = F.from_json("line", with_mark, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})

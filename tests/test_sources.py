@@ -101,3 +101,17 @@ def test_stream(spark, tmp_path):
     for _ in range(2):
         incremental.write_batches(incremental.clean_stream(spark, source, schema), str(tmp_path / "c2"), lambda df, _: seen.append(df.count())).awaitTermination()
     assert sum(seen) == 2
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    p = tmp_path / "long.jsonl"
+    p.write_text("".join(f'{{"n": {i}}}\n' if i % 5 else "bad\n" for i in range(1, 3001)), encoding="utf-8")
+    size, cost = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        out = readers.jsonl_captured(spark, str(p), "n int").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert len(out) == 3000 and all(r._source_line == r.n if not r._invalid_json else r.n is None and r._source_line % 5 == 0 for r in out)
