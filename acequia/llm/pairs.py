@@ -14,6 +14,7 @@ sentences and items in all responses, nothing ends).
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import zstandard
@@ -22,7 +23,16 @@ from pyspark.sql import functions as F
 
 from acequia.llm.features import mix, word_hashes
 from acequia.llm.splitting import ABBREVIATIONS
-from acequia.llm.text import fold, map_rows, words
+from acequia.llm import text as X
+from acequia.llm.text import fold, map_rows
+
+
+
+@lru_cache(maxsize=32)
+def words(text: str | None) -> tuple[str, ...]:
+    """Words of a text; those of the last texts are remembered, for each test asks for them again."""
+    return tuple(X.words(text))
+
 
 # Words that stand for an answer or name a role, folded.
 PLACEHOLDERS = frozenset(
@@ -281,6 +291,7 @@ def _asked(prompt: str) -> str | None:
     return last
 
 
+@lru_cache(maxsize=512)
 def expected_language(prompt: str | None) -> str | None:
     """Language that the prompt asks an answer in, or else is written in.
 
@@ -318,7 +329,7 @@ def is_truncated(response: str, ends: Endings | None = None) -> bool:
         return True
     if text[-1] in "»”\")]}" or not found:
         return False
-    share = 1.0 if ends is None else ends.share(found[-2:])
+    share = 1.0 if ends is None else ends.share(list(found[-2:]))
     items = sum(1 for x in lines if _ITEM.match(x))
     if items >= 2 and _ITEM.match(last):
         return share < 0.02
