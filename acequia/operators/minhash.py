@@ -24,8 +24,8 @@ from acequia.session import discard, materialize
 WORDS = 500_000
 
 
-def signatures(df: DataFrame, text: str, id_column: str, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(id, keys): a key of 64 bits by band of each document with a shingle."""
+def signatures(df: DataFrame, text: str, id_column: str, shingle: int, bands: int, rows: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """(id, keys, …): a key of 64 bits by band of each document with a shingle, and its columns ``also``."""
     import re
     import unicodedata
 
@@ -39,8 +39,8 @@ def signatures(df: DataFrame, text: str, id_column: str, shingle: int, bands: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
-            for key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            places, keys = [], []
+            for place, t in enumerate(batch.column(1).to_pylist()):
                 found = word.findall(unicodedata.normalize("NFC", t.lower()))
                 if len(found) < shingle:
                     continue
@@ -49,11 +49,13 @@ def signatures(df: DataFrame, text: str, id_column: str, shingle: int, bands: in
                 for part in range(0, len(h), 2048):
                     x = h[part : part + 2048]
                     np.minimum(least, ((x[:, None] * odd + add) ^ (x[:, None] >> np.uint64(29))).min(axis=0), out=least)
-                ids.append(key)
+                places.append(place)
                 keys.append([xxhash.xxh64_intdigest(least[b * rows : (b + 1) * rows].tobytes(), seed=b) - 2**63 for b in range(bands)])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(keys, pa.list_(pa.int64()))], names=["id", "keys"])
+            there = batch.take(pa.array(places, pa.int64()))
+            yield pa.RecordBatch.from_arrays([there.column(0), pa.array(keys, pa.list_(pa.int64())), *there.columns[2:]], names=["id", "keys", *also])
 
-    return df.select(F.col(id_column).alias("id"), F.col(text).alias("t")).where("t is not null").mapInArrow(run, f"id {id_type}, keys array<bigint>")
+    kept = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in also)
+    return df.select(F.col(id_column).alias("id"), F.col(text).alias("__t"), *also).where("__t is not null").mapInArrow(run, f"id {id_type}, keys array<bigint>{kept}")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acequia.functions.measures import bleu_column, chrf_column, length_ratio
 from acequia.functions.text import hash_parts, squeeze, token_count
+from acequia.operators import alike
 from acequia.operators.filters import reasons
 from acequia.operators.minhash import signatures
 from acequia.session import materialize
 
+#: Texts, and characters of them, that ``near_pairs`` holds in a block; a task holds two at most.
+BLOCK_TEXTS, BLOCK_CHARS = 80_000, 80_000_000
+
 
 def measured(df: DataFrame) -> DataFrame:
     """Prompt, chosen and rejected squeezed, with tokens, ratio, chrF and BLEU of chosen against rejected."""
@@ -64,27 +66,45 @@ def near_pairs(df: DataFrame, id_column: str, ratio: float = 0.94, bucket: int =
     share a MinHash band of pairs of words, so that no bucket is compared all
     with all. That isn't complete for a ratio of characters: many small edits
     leave few pairs of words, and texts of one word aren't compared.
+
+    A length bucket's texts go to one task, which finds the candidates and
+    compares them, so neither band keys nor pairs with their texts are
+    moved. A bucket of more than a block is dealt to several, each two a task.
     """
     text = F.concat_ws("\n", squeeze(F.col("prompt")), squeeze(F.col("chosen")))
     size = lambda c: F.floor(token_count(squeeze(F.col(c))) / bucket)
     flat = df.select(F.col(id_column).alias("id"), text.alias("t"), size("prompt").alias("p"), size("chosen").alias("c"))
-    classes = materialize(flat.groupBy(F.sha2("t", 256).alias("h")).agg(F.min("id").alias("a")), "classes")
-    copies = flat.select(F.col("id").alias("b"), F.sha2("t", 256).alias("h")).join(classes, "h").where("a <> b").select("a", "b", F.lit(1.0).alias("ratio")).distinct()
-    texts = materialize(flat.join(classes.select(F.col("a").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "texts")
-    keyed = signatures(texts, "t", "id", 2, bands, rows).join(texts.select("id", "p", "c"), "id").select("id", "p", "c", F.explode("keys").alias("key"))
-    keyed = materialize(keyed, "bands")
-    near = keyed.withColumnRenamed("id", "a").join(keyed.withColumnRenamed("id", "b"), ["key", "p", "c"]).where("a < b").select("a", "b").distinct()
-
-    @F.pandas_udf("double")
-    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
-        def one(a: str, b: str) -> float:
-            m = SequenceMatcher(None, a, b, autojunk=False)
-            return m.ratio() if m.real_quick_ratio() >= ratio and m.quick_ratio() >= ratio else 0.0
-
-        return pd.Series([one(a, b) for a, b in zip(x, y)])
-
-    pairs = near.join(texts.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
-    return pairs.select("a", "b", F.round(alike("x", "y"), 6).alias("ratio")).where(F.col("ratio") >= ratio).unionByName(copies)
+    hashed = flat.select("id", "t", F.unhex(F.sha2("t", 256)).alias("h"), "p", "c")
+    # equal texts are of one bucket and one length
+    classes = hashed.groupBy("h").agg(F.min("id").alias("a"), F.min("p").alias("p"), F.min("c").alias("c"), F.min(F.length("t")).alias("n"))
+    classes = materialize(classes, "classes")
+    copies = hashed.select(F.col("id").alias("b"), "h").join(classes, "h").where("a <> b").select("a", "b", F.lit(1.0).alias("ratio")).distinct()
+    # a bucket of one class has nothing to compare
+    buckets = classes.groupBy("p", "c").agg(F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n") / BLOCK_CHARS)).cast("int").alias("blocks"), F.count("*").alias("among")).where("among > 1")
+    firsts = classes.join(buckets, ["p", "c"]).select(F.col("a").alias("id"), "h", "p", "c", "blocks")
+    texts = hashed.select("id", "h", "t").join(firsts, ["id", "h"])
+    signed = signatures(texts, "t", "id", 2, bands, rows, ("t", "p", "c", "h", "blocks"))
+    mine = F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, mine).alias("x"), F.greatest(o, mine).alias("y")))
+    # 31 bits of a key: few more texts meet, and every pair is compared
+    keyed = signed.select("id", "t", F.transform("keys", lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int")).alias("keys"), mine.alias("block"), "p", "c", F.explode(cells).alias("cell"))
+
+    def compare(cell: pa.Table) -> pa.Table:
+        keys = cell["keys"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, bands)
+        x, y = alike.candidates(keys, cell["block"].to_numpy(), (t.as_py() for t in cell["t"]), ratio)
+        out: dict[str, list] = {"a": [], "b": [], "ratio": []}
+        for i, j in zip(x.tolist(), y.tolist()):
+            (a, s), (b, t) = sorted(((cell["id"][k].as_py(), cell["t"][k].as_py()) for k in (i, j)))
+            if a < b and (r := round(alike.alike(s, t, ratio), 6)) >= ratio:
+                out["a"].append(a)
+                out["b"].append(b)
+                out["ratio"].append(r)
+        kind = cell.schema.field("id").type
+        return pa.table({"a": pa.array(out["a"], kind), "b": pa.array(out["b"], kind), "ratio": pa.array(out["ratio"], pa.float64())})
+
+    id_type = flat.schema["id"].dataType.simpleString()
+    near = keyed.groupBy("p", "c", "cell").applyInArrow(compare, f"a {id_type}, b {id_type}, ratio double")
+    return near.distinct().unionByName(copies)
 
 
 def judge_pairs(a: DataFrame, b: DataFrame, key: str, order: list[str], response: str, seed: int = 42) -> DataFrame:

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import random
+from difflib import SequenceMatcher
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from acequia.operators import aggregates, annotation, chunking, dedup, filters, joins, metrics, minhash, preferences, projection, quality, sampling, tfidf, vectors
+from acequia.operators import aggregates, alike, annotation, chunking, dedup, filters, joins, metrics, minhash, preferences, projection, quality, sampling, tfidf, vectors
 from acequia.operators.ordering import position, running
 
 
@@ -236,6 +240,60 @@ def test_near_pairs_give_every_copy(spark):
     assert set(got) == {(1, 2), (1, 3), (1, 4), (5, 6)} and got[1, 2] == got[1, 3] == got[5, 6] == 1 and got[1, 4] < 1
 
 
+def _near_by_all(data, ratio=0.94):
+    made = [(i, f"{p}\n{c}") for i, p, c in data]
+    both = [(a, b, round(SequenceMatcher(None, x, y, autojunk=False).ratio(), 6)) for a, x in made for b, y in made if a < b]
+    return sorted(x for x in both if x[2] >= ratio)
+
+
+def _templates(n, words=60):
+    """Texts of one length whose sentences stand in many others too; the last third are earlier ones with small edits."""
+    rnd = random.Random(3)
+    parts = [" ".join("".join(rnd.choices("aeioulnrstcdm", k=rnd.randint(3, 8))) for _ in range(10)) for _ in range(30)]
+    data = [(i, "p", " ".join(rnd.sample(parts, words // 10)) + f" {i}") for i in range(2 * n // 3)]
+    return data + [(i, "p", rnd.choice(data)[2].replace("a", "b", rnd.randint(1, 3)) + f" {i}") for i in range(len(data), n)]
+
+
+def test_near_pairs_of_like_texts_move_little(spark):
+    data = _templates(1500)
+    df = spark.createDataFrame(data, "sample_id int, prompt string, chosen string")
+    sc = spark.sparkContext
+
+    def written():
+        none = sc._gateway.new_array(sc._jvm.double, 0)
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, none, sc._jvm.java.util.ArrayList())
+        return {s.stageId(): s.shuffleWriteBytes() + s.outputBytes() for s in map(stages.apply, range(stages.size()))}
+
+    before = written()
+    assert preferences.near_pairs(df, "sample_id").count() > 100
+    assert 0 < sum(n for stage, n in written().items() if stage not in before) < 4 * sum(len(c.encode()) for _, _, c in data)
+
+
+def test_near_pairs_across_blocks(spark, monkeypatch):
+    data = _templates(75, 30)
+    df = spark.createDataFrame(data, "sample_id int, prompt string, chosen string")
+    whole = sorted(map(tuple, preferences.near_pairs(df, "sample_id").collect()))
+    assert whole == _near_by_all(data) and len(whole) > 10
+    monkeypatch.setattr(preferences, "BLOCK_TEXTS", 20)
+    assert sorted(map(tuple, preferences.near_pairs(df, "sample_id").collect())) == whole
+    assert preferences.near_pairs(df.limit(0), "sample_id").count() == 0
+
+
+def test_bounds_of_alike_lose_nothing():
+    rnd = random.Random(5)
+    texts = ["", "a", "ab", "ab", "abc", "a" * 700, "a" * 690 + "b" * 10]
+    for n in (3, 40, 400):
+        for _ in range(20):
+            t = "".join(rnd.choices("abcdeé ñ😀", k=n))
+            texts += [t, *("".join(rnd.choice("xyz") if rnd.random() < share else c for c in t) for share in (0.02, 0.05, 0.07))]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(max(0, i - 7), i)]
+    ratio = lambda i, j: SequenceMatcher(None, texts[i], texts[j], autojunk=False).ratio()
+    near = {(i, j) for i, j in pairs if ratio(i, j) >= 0.94}
+    a, b = alike.possible(*np.array(pairs).T, *alike.sketch(iter(texts), len(texts)), 0.94)
+    assert near <= set(zip(a.tolist(), b.tolist())) and len(near) > 40
+    assert {(i, j) for i, j in pairs if alike.alike(texts[i], texts[j], 0.94) >= 0.94} == near
+
+
 def test_vectors(spark, monkeypatch):
     data = [(i, [float(i % 3), float(i % 5), 1.0]) for i in range(20)] + [(20, None), (21, [0.0, 0.0, 0.0])]
     everything = vectors.index(spark.createDataFrame(data, "vec_id bigint, embedding array<float>"))
